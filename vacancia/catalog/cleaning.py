@@ -360,8 +360,8 @@ def fn_document_v1(spark, sf):
     return G.documents_v1(X.silver(spark, sf))
 
 
-@query("fn_percent", """SELECT l_orderkey, l_linenumber, l_quantity,
-       round(l_linenumber / nullif(l_quantity, 0) * 100, 2) AS pct FROM lineitem""")
+@query("fn_percent", f"""SELECT l_orderkey, l_linenumber, l_quantity,
+       {X.s_round('l_linenumber / nullif(l_quantity, 0) * 100')} AS pct FROM lineitem""")
 def fn_percent(spark, sf):
     return X.table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", T.percent("l_linenumber", "l_quantity").alias("pct"))
@@ -502,12 +502,12 @@ def rsh_explode(spark, sf):
 
 _QUALITY_COLS = ["total_jobs", "unique_companies", "unique_locations", "salary_available_raw",
                  "avg_skill_count", "valid_salary_records", "valid_salary_availability_pct"]
-SOURCE_QUALITY = """quality AS (
+SOURCE_QUALITY = f"""quality AS (
   SELECT source, count(job_title) AS total_jobs, count(DISTINCT company) AS unique_companies,
          count(DISTINCT location) AS unique_locations, count(salary_avg) AS salary_available_raw,
-         round(avg(skill_count), 2) AS avg_skill_count,
+         {X.s_round('avg(skill_count)')} AS avg_skill_count,
          count(*) FILTER (salary_avg BETWEEN 50000 AND 10000000) AS valid_salary_records,
-         round(count(*) FILTER (salary_avg BETWEEN 50000 AND 10000000) / count(job_title) * 100, 2)
+         {X.s_round('count(*) FILTER (salary_avg BETWEEN 50000 AND 10000000) / count(job_title) * 100')}
            AS valid_salary_availability_pct
   FROM gold WHERE source IS NOT NULL GROUP BY source)"""
 
@@ -526,9 +526,9 @@ SALARY_INSIGHTS = """insights AS (
 
 
 @query("rsh_range", f"""WITH {X.GOLD}, {SALARY_INSIGHTS}
-SELECT role_category, min_salary, max_salary, round(avg_salary, 4) AS avg_salary, round(avg_salary, 4) AS mid_salary
+SELECT role_category, min_salary, max_salary, {X.s_round('avg_salary', 4)} AS avg_salary, {X.s_round('avg_salary', 4)} AS mid_salary
 FROM insights ORDER BY mid_salary, role_category""")
 def rsh_range(spark, sf):
     insights = demand.salary_insights(X.gold(spark, sf))
     return demand.salary_ranges(insights).withColumns(
-        {c: F.round(c, 4) for c in ("avg_salary", "mid_salary")})
+        {c: T.rounded(c, 4) for c in ("avg_salary", "mid_salary")})

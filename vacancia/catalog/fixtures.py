@@ -124,6 +124,10 @@ def sql_list(items) -> str:
     return "[" + ", ".join(quoted(i) for i in items) + "]"
 
 
+def s_round(c: str, places: int = 2) -> str:
+    return f"(round_even(({c}) * {10**places}.0::double, 0) / {10**places}.0::double)"
+
+
 def s_strip(c: str) -> str:
     return f"regexp_replace({c}, '{EDGE_SPACE}', '', 'g')"
 
@@ -263,6 +267,6 @@ def ranked_skills(n: int) -> str:
   SELECT role_category, unnest(extracted_skills) AS skill FROM gold), pair_counts AS (
   SELECT role_category, skill, cast(count(*) AS bigint) AS job_count FROM pairs GROUP BY ALL
   UNION ALL SELECT '{EVERY_ROLE}', skill, cast(count(*) AS bigint) FROM pairs GROUP BY skill), ranked AS (
-  SELECT c.role_category, skill, job_count, round(job_count / role_market_jobs * 100, 2) AS demand_percent,
+  SELECT c.role_category, skill, job_count, {s_round('job_count / role_market_jobs * 100')} AS demand_percent,
          row_number() OVER (PARTITION BY c.role_category ORDER BY job_count DESC, skill) AS skill_rank
   FROM pair_counts c JOIN role_market m ON m.role_category = c.role_category QUALIFY skill_rank <= {n})"""

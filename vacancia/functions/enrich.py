@@ -138,9 +138,12 @@ def exp_bucket(c, labels=D.EXPERIENCE_V3) -> Column:
     position = (years > 0).cast("int")
     for bound, _ in labels["bounds"]:
         position = position + (years > bound).cast("int")
-    names = [labels["zero"], *[name for _, name in labels["bounds"]], labels["above"]]
-    known = F.element_at(F.array(*[F.lit(n) for n in names]), position + 1)
-    return F.coalesce(known, F.lit(labels["missing"]))
+    names = [
+        labels["missing"], labels["zero"], *[name for _, name in labels["bounds"]], labels["above"],
+    ]
+    return F.element_at(
+        F.array(*[F.lit(n) for n in names]), F.coalesce(position + 2, F.lit(1))
+    )
 
 
 def salary(c, strip_thousands: bool = False) -> Column:

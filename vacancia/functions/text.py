@@ -117,8 +117,14 @@ def document_text(parts) -> Column:
     )
 
 
+def rounded(c, places: int = 2) -> Column:
+    """Round half to even on the scaled double, the rule of numeric arrays in Python."""
+    scale = float(10**places)
+    return F.rint(col(c) * scale) / scale
+
+
 def percent(part, whole, places: int = 2) -> Column:
-    return F.round(col(part) / F.nullif(col(whole), F.lit(0)) * 100, places)
+    return rounded(col(part) / F.nullif(col(whole), F.lit(0)) * 100, places)
 
 
 def to_number(c) -> Column:

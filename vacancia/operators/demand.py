@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from vacancia.functions import enrich as E, text as X
+from vacancia.operators.reshape import explode_items
 from vacancia.operators.standardise import salary_band
 
 
@@ -35,22 +36,20 @@ def source_share(df: DataFrame) -> DataFrame:
 
 
 def skill_rows(df: DataFrame, keep=("job_id", "role_category", "source")) -> DataFrame:
-    return df.select(*keep, F.explode("extracted_skills").alias("skill"))
+    return explode_items(df, keep, "extracted_skills", "skill")
 
 
 def raw_skill_demand(df: DataFrame) -> DataFrame:
     """Demand of raw split skills."""
-    pieces = df.select(F.explode(E.skills_split("skills")).alias("skill"))
-    return demand(pieces, "skill", name="demand_count")
+    return demand(explode_items(df, [], E.skills_split("skills"), "skill"), "skill", name="demand_count")
 
 
 def skill_demand(df: DataFrame) -> DataFrame:
-    return demand(df.select(F.explode("extracted_skills").alias("skill")), "skill")
+    return demand(skill_rows(df, ()), "skill")
 
 
 def role_skill(df: DataFrame) -> DataFrame:
-    pairs = df.select("role_category", F.explode("extracted_skills").alias("skill"))
-    return demand(pairs, "role_category", "skill")
+    return demand(skill_rows(df, ("role_category",)), "role_category", "skill")
 
 
 def source_role(df: DataFrame) -> DataFrame:
@@ -78,7 +77,7 @@ def source_quality(df: DataFrame, low: float, high: float) -> DataFrame:
             F.countDistinct("company").alias("unique_companies"),
             F.countDistinct("location").alias("unique_locations"),
             F.count("salary_avg").alias("salary_available_raw"),
-            F.round(F.avg("skill_count"), 2).alias("avg_skill_count"),
+            X.rounded(F.avg("skill_count")).alias("avg_skill_count"),
             valid.alias("valid_salary_records"),
         )
         .withColumn(

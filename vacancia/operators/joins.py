@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from vacancia.dictionaries import SEARCHED_ROLES
 from vacancia.functions import enrich as E, text as X
+from vacancia.operators.reshape import explode_items
 
 
 def match_roles(df: DataFrame, dictionary=SEARCHED_ROLES, fields=None) -> DataFrame:
@@ -15,7 +16,7 @@ def match_roles(df: DataFrame, dictionary=SEARCHED_ROLES, fields=None) -> DataFr
     join runs as a projection and an explode, without a join or a shuffle.
     """
     fields = fields or ["title", "company", "location", "skills", "description"]
-    hits = df.withColumn("_at", F.explode(E.matched_terms(X.joined(*fields), dictionary)))
+    hits = explode_items(df, df.columns, E.matched_terms(X.joined(*fields), dictionary), "_at")
     return hits.withColumn("_term", E.term_at("_at", dictionary)).select(*df.columns, "_term.*")
 
 

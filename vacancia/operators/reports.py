@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from vacancia.functions import text as X
+from vacancia.operators.reshape import explode_items
 
 
 def tall(one_row: DataFrame, kind: str = "bigint") -> DataFrame:
@@ -15,7 +16,7 @@ def tall(one_row: DataFrame, kind: str = "bigint") -> DataFrame:
 
 def kpi(df: DataFrame) -> DataFrame:
     """Eight headline numbers; the training-set size is counted, not a constant."""
-    skills = df.select(F.explode("extracted_skills").alias("skill"))
+    skills = explode_items(df, [], "extracted_skills", "skill")
     distinct_skills = skills.agg(F.countDistinct("skill")).scalar()
     one = df.agg(
         F.count(F.lit(1)).alias("Total Jobs"),
@@ -60,7 +61,7 @@ def gold_quality_v3(df: DataFrame, low: float, high: float) -> DataFrame:
             valid.alias("jobs_with_valid_salary"),
             (rows - valid).alias("jobs_without_valid_salary"),
             F.count_if(F.col("skill_count") > 0).alias("jobs_with_extracted_skills"),
-            F.round(F.avg("skill_count"), 2).alias("avg_skills_per_job"),
+            X.rounded(F.avg("skill_count")).alias("avg_skills_per_job"),
             F.count_if(F.col("role_category") != "Other").alias("ml_role_dataset_rows"),
             valid.alias("ml_salary_dataset_rows"),
             rows.alias("rag_documents"),

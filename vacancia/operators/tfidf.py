@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from vacancia.functions import text as X
+from vacancia.operators.reshape import explode_items
 
 # Largest vocabulary joined by broadcast; beyond it the join shuffles on the term.
 BROADCAST_TERMS = 200_000
@@ -18,12 +19,11 @@ BROADCAST_TERMS = 200_000
 def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words=(), bigrams=True) -> DataFrame:
     """(doc_id, term, tf). Moving the texts is cheaper than moving their n-grams."""
     terms = X.with_bigrams("_words") if bigrams else F.col("_words")
-    return (
-        docs.select(doc_id, text).repartition(doc_id)
-        .select(doc_id, X.content_words(text, stop_words).alias("_words"))
-        .select(doc_id, F.explode(terms).alias("term"))
-        .groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+    words = docs.select(doc_id, text).repartition(doc_id).select(
+        doc_id, X.content_words(text, stop_words).alias("_words")
     )
+    rows = explode_items(words, [doc_id], terms, "term")
+    return rows.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def fit(

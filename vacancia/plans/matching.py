@@ -53,7 +53,7 @@ class Recommender:
         shown = [c for c in DISPLAY if c in self.jobs.columns]
         ranked = self.scores(profiles, text, n, role)
         return ranked.join(self.jobs.select("job_id", *shown), "job_id").withColumn(
-            "match_percent", F.round(F.col("score") * 100, 2)
+            "match_percent", X.rounded(F.col("score") * 100)
         )
 
 

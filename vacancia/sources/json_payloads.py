@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacancia.functions import text as X
+from vacancia.operators.reshape import explode_items
 
 
 def _field(item: Column, path: str) -> Column:
@@ -22,7 +23,7 @@ def valid_items(payloads: DataFrame, payload: str, path: str) -> DataFrame:
     The list is parsed once, as raw element texts; elements of other kinds drop out.
     """
     elements = F.from_json(F.get_json_object(payload, f"$.{path}"), "array<string>")
-    out = payloads.withColumn("item", F.explode(elements))
+    out = explode_items(payloads, payloads.columns, elements, "item")
     return out.filter(F.col("item").startswith("{") & (F.coalesce(_field(F.col("item"), "title"), F.lit("")) != ""))
 
 
@@ -61,7 +62,7 @@ def shine_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """``results[]`` with short field names and an HTML description."""
     others = [c for c in payloads.columns if c != payload]
     elements = F.from_json(F.get_json_object(payload, "$.results"), "array<string>")
-    items = payloads.withColumn("item", F.explode(elements))
+    items = explode_items(payloads, payloads.columns, elements, "item")
     i = F.col("item")
     return items.select(
         *others,
