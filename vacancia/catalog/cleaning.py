@@ -413,8 +413,11 @@ def ddp_best(spark, sf):
 
 
 # The batch of a posting is its scrape stamp.
-@query("ddp_last_id", f"""WITH {_MASTER} SELECT * FROM master QUALIFY row_number() OVER (
-  PARTITION BY job_id ORDER BY scraped_at DESC NULLS LAST, {_MASTER_ORDER}) = 1""")
+LAST_ID = f"""WITH {_MASTER} SELECT * FROM master QUALIFY row_number() OVER (
+  PARTITION BY job_id ORDER BY scraped_at DESC NULLS LAST, {_MASTER_ORDER}) = 1"""
+
+
+@query("ddp_last_id", LAST_ID)
 def ddp_last_id(spark, sf):
     return dedup.last_by_id(master(spark, sf), "scraped_at")
 
