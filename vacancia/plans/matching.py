@@ -86,6 +86,18 @@ def predict(model: PipelineModel, profiles: DataFrame, text: str, fitted_text: s
     return out.select(*kept, "predicted_role")
 
 
+def recommended_lines(ranked: DataFrame) -> DataFrame:
+    """(profile_id, recommended): a profile's ranked postings as text, n lines at most."""
+    line = F.concat(
+        F.lit("- "), X.blank("job_title"), F.lit(" at "), X.blank("company"),
+        F.lit(", match score "), F.col("match_percent").cast("string"),
+    )
+    lines = F.sort_array(F.collect_list(F.struct("rank", line.alias("line"))))
+    return ranked.groupBy("profile_id").agg(
+        F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("recommended")
+    )
+
+
 def advise(
     profiles: DataFrame, jobs: DataFrame, recommender: Recommender, role: str,
     top_skills: int = 15, top_jobs: int = 10,
@@ -107,12 +119,7 @@ def advise(
     )
     asked = targets.withColumn("query", F.concat_ws(" ", "profile_text", "target_role"))
     listed = recommender.recommend(asked, "query", top_jobs, "target_role")
-    lines = F.sort_array(F.collect_list(F.struct("rank", F.concat(
-        F.lit("- "), X.blank("job_title"), F.lit(" at "), X.blank("company"),
-        F.lit(", match score "), F.col("match_percent").cast("string")).alias("line"))))
-    listed = listed.groupBy("profile_id").agg(
-        F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("recommended")
-    )
+    listed = recommended_lines(listed)
     base = matched.select("profile_id", F.col("target_role").alias("role"), "role_market_jobs")
     return base.join(scores, "profile_id", "left").join(listed, "profile_id", "left").withColumn(
         "match_score", F.coalesce("match_score", F.lit(0.0))
