@@ -75,7 +75,7 @@ def main() -> int:
     if args.module:
         importlib.import_module(f"vacancia.catalog.{args.module}")
     else:
-        importlib.import_module("vacancia.catalog")
+        importlib.import_module("__spark_entry__")
     spark = local_session("8")
     spark.sparkContext.setLogLevel("ERROR")
     db = duckdb.connect()

@@ -89,12 +89,11 @@ def scr_regex(spark, sf):
 
 
 # Pattern vectors: the mean direction of every label.
-_PATTERNS = """cells AS (
+_PATTERNS = f"""cells AS (
   SELECT label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::double AS x FROM embeddings), means AS (
   SELECT label, i, avg(x) AS x FROM cells GROUP BY ALL), patterns AS (
   SELECT label AS pattern_id, list(x ORDER BY i) AS v FROM means GROUP BY label), likeness AS (
-  SELECT e.vec_id, max(list_inner_product(e.embedding::double[], p.v)
-         / sqrt(list_inner_product(p.v, p.v))) AS max_similarity
+  SELECT e.vec_id, max({X.s_round('list_inner_product(e.embedding::double[], p.v) / sqrt(list_inner_product(p.v, p.v))', 6)}) AS max_similarity
   FROM embeddings e, patterns p GROUP BY e.vec_id)"""
 THRESHOLD = 0.3
 
