@@ -148,7 +148,7 @@ def src_json_foundit(spark, sf):
 @query("src_json_valid", f"""WITH {X.POSTINGS}
 SELECT source AS portal, cast(count(*) AS bigint) AS items FROM postings GROUP BY source""")
 def src_json_valid(spark, sf):
-    items = json_payloads.valid_items(foundit_payloads(spark, sf), "payload", "jobSearchResponse.data")
+    items = json_payloads.valid_items(foundit_payloads(spark, sf))
     return items.groupBy("portal").agg(F.count("item").alias("items"))
 
 

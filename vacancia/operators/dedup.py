@@ -77,13 +77,22 @@ def with_source_sets(df: DataFrame, key="dedup_key") -> DataFrame:
 
 
 def best_row(df: DataFrame, key="dedup_key", stamp="scraped_at") -> DataFrame:
-    """Newest row per key with the key's source sets.
+    """Newest row per key with the key's source sets, in one pass and without a join.
 
     The source count is constant within a key, so only the stamp ranks its rows.
-    Rows are reduced to one per key before the join, which therefore has no hot key.
+    Keeping the newest row per (key, source) first leaves a key no more rows than it
+    has sources, and those few rows carry both the winner and the source list.
     """
-    best = newest(df, [key], stamp)
-    return best.join(source_sets(df, key), key, "left")
+    order = total_order(df, [F.col(stamp).desc_nulls_last()])
+    per_source = keep_first(df, [key, "source"], order)
+    w = Window.partitionBy(key)
+    sources = F.sort_array(F.collect_list("source").over(w))
+    ranked = per_source.withColumns({
+        "source_count": F.count("source").over(w),
+        "sources_available": F.array_join(sources, ","),
+        "_rank": F.row_number().over(w.orderBy(*order)),
+    })
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def distinct_in_order(df: DataFrame, value: str, order: str) -> DataFrame:

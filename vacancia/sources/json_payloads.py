@@ -5,98 +5,112 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vacancia.functions import text as X
-from vacancia.operators.reshape import explode_items
 
 
-def _field(item: Column, path: str) -> Column:
-    """Raw value at a path: a string's text, the JSON fragment of a list or object."""
-    return F.get_json_object(item, f"$.{path}")
-
-
-def _text(item: Column, path: str) -> Column:
-    return X.coerce_text(_field(item, path))
-
+# Fields are read as text: a list or object in a text field keeps its JSON fragment.
+_YEARS, _AMOUNT = "struct<years:string>", "struct<absoluteValue:string>"
+FOUNDIT_ITEM = (
+    "jobId string, title string, companyName string, locations string, "
+    f"minimumExperience {_YEARS}, maximumExperience {_YEARS}, salary string, "
+    f"minimumSalary {_AMOUNT}, maximumSalary {_AMOUNT}, skills string, description string, "
+    "postedDate string, updatedAt string, employmentTypes string, industries string, "
+    "redirectUrl string"
+)
+SHINE_ITEM = (
+    "id string, jJT string, jCName string, jLoc string, jExp string, jSal string, jKwd string, "
+    "jJD string, jPDate string, jInd string"
+)
+REMOTEOK_ITEM = (
+    "id string, position string, company string, location string, salary_min string, "
+    "salary_max string, tags array<string>, description string, date string"
+)
+
+
+def _text(path: str) -> Column:
+    return X.coerce_text(f"item.{path}")
+
+
+def _items(payloads: DataFrame, payload: str, schema: str, path: list[str], item: str):
+    """One row per list element that is an object, parsed once into ``item``."""
+    elements = F.from_json(payload, schema)
+    for part in path:
+        elements = elements.getField(part)
+    others = [c for c in payloads.columns if c != payload]
+    raw = payloads.select(*others, F.posexplode_outer(elements).alias("_pos", "_raw"))
+    raw = raw.filter(F.col("_raw").startswith("{"))
+    return others, raw.withColumn("item", F.from_json("_raw", item))
 
-def valid_items(payloads: DataFrame, payload: str, path: str) -> DataFrame:
-    """One row per list element that is an object with a non-empty title.
 
-    The list is parsed once, as raw element texts; elements of other kinds drop out.
-    """
-    elements = F.from_json(F.get_json_object(payload, f"$.{path}"), "array<string>")
-    out = explode_items(payloads, payloads.columns, elements, "item")
-    return out.filter(F.col("item").startswith("{") & (F.coalesce(_field(F.col("item"), "title"), F.lit("")) != ""))
+def valid_items(payloads: DataFrame, payload: str = "payload") -> DataFrame:
+    """Elements of ``jobSearchResponse.data`` that are objects with a non-empty title."""
+    others, items = _items(
+        payloads, payload, "jobSearchResponse struct<data:array<string>>",
+        ["jobSearchResponse", "data"], FOUNDIT_ITEM,
+    )
+    return items.select(*others, "item").filter(F.coalesce("item.title", F.lit("")) != "")
 
 
 def foundit_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """``jobSearchResponse.data[]`` with nested experience and salary."""
     others = [c for c in payloads.columns if c != payload]
-    items = valid_items(payloads, payload, "jobSearchResponse.data")
-    i = F.col("item")
-    low, high = _field(i, "minimumExperience.years"), _field(i, "maximumExperience.years")
-    return items.select(
+    low, high = F.col("item.minimumExperience.years"), F.col("item.maximumExperience.years")
+    return valid_items(payloads, payload).select(
         *others,
-        _field(i, "jobId").alias("job_id"),
-        _text(i, "title").alias("title"),
-        _text(i, "companyName").alias("company"),
-        _text(i, "locations").alias("location"),
+        F.col("item.jobId").alias("job_id"),
+        _text("title").alias("title"),
+        _text("companyName").alias("company"),
+        _text("locations").alias("location"),
         # An absent bound prints as the word None, as the portal files have it.
         F.concat(F.coalesce(low, F.lit("None")), F.lit(" - "), F.coalesce(high, F.lit("None")))
         .alias("experience"),
         low.try_cast("double").alias("min_exp"),
         high.try_cast("double").alias("max_exp"),
-        _text(i, "salary").alias("salary"),
-        _field(i, "minimumSalary.absoluteValue").try_cast("double").alias("min_salary"),
-        _field(i, "maximumSalary.absoluteValue").try_cast("double").alias("max_salary"),
-        _text(i, "skills").alias("skills"),
-        _text(i, "description").alias("description"),
-        _text(i, "postedDate").alias("posted_date"),
-        _text(i, "updatedAt").alias("updated_at"),
-        _text(i, "employmentTypes").alias("employment_type"),
-        _text(i, "industries").alias("industry"),
-        _text(i, "redirectUrl").alias("apply_url"),
+        _text("salary").alias("salary"),
+        F.col("item.minimumSalary.absoluteValue").try_cast("double").alias("min_salary"),
+        F.col("item.maximumSalary.absoluteValue").try_cast("double").alias("max_salary"),
+        _text("skills").alias("skills"),
+        _text("description").alias("description"),
+        _text("postedDate").alias("posted_date"),
+        _text("updatedAt").alias("updated_at"),
+        _text("employmentTypes").alias("employment_type"),
+        _text("industries").alias("industry"),
+        _text("redirectUrl").alias("apply_url"),
         F.lit("foundit").alias("source"),
     )
 
 
 def shine_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """``results[]`` with short field names and an HTML description."""
-    others = [c for c in payloads.columns if c != payload]
-    elements = F.from_json(F.get_json_object(payload, "$.results"), "array<string>")
-    items = explode_items(payloads, payloads.columns, elements, "item")
-    i = F.col("item")
+    others, items = _items(payloads, payload, "results array<string>", ["results"], SHINE_ITEM)
     return items.select(
         *others,
-        _field(i, "id").alias("job_id"),
-        _text(i, "jJT").alias("title"),
-        _text(i, "jCName").alias("company"),
-        _text(i, "jLoc").alias("location"),
-        _text(i, "jExp").alias("experience"),
-        _text(i, "jSal").alias("salary"),
-        _text(i, "jKwd").alias("skills"),
-        X.html_text(F.nullif(_field(i, "jJD"), F.lit(""))).alias("description"),
-        _text(i, "jPDate").alias("posted_date"),
-        _text(i, "jInd").alias("industry"),
+        F.col("item.id").alias("job_id"),
+        _text("jJT").alias("title"),
+        _text("jCName").alias("company"),
+        _text("jLoc").alias("location"),
+        _text("jExp").alias("experience"),
+        _text("jSal").alias("salary"),
+        _text("jKwd").alias("skills"),
+        X.html_text(F.nullif(F.col("item.jJD"), F.lit(""))).alias("description"),
+        _text("jPDate").alias("posted_date"),
+        _text("jInd").alias("industry"),
         F.lit("shine").alias("source"),
     )
 
 
 def remoteok_rows(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     """A bare array whose first element is metadata; tags join with commas."""
-    others = [c for c in payloads.columns if c != payload]
-    elements = F.from_json(F.col(payload), "array<string>")
-    items = payloads.select(*others, F.posexplode(elements).alias("pos", "item")).filter("pos > 0")
-    i = F.col("item")
-    tags = F.from_json(_field(i, "tags"), "array<string>")
-    return items.select(
+    others, items = _items(payloads, payload, "array<string>", [], REMOTEOK_ITEM)
+    return items.filter("_pos > 0").select(
         *others,
-        _field(i, "id").alias("job_id"),
-        _field(i, "position").alias("title"),
-        _field(i, "company").alias("company"),
-        _field(i, "location").alias("location"),
-        _field(i, "salary_min").try_cast("double").alias("salary_min"),
-        _field(i, "salary_max").try_cast("double").alias("salary_max"),
-        F.coalesce(F.array_join(tags, ","), F.lit("")).alias("skills"),
-        _field(i, "description").alias("description"),
-        _field(i, "date").alias("posted_date"),
+        F.col("item.id").alias("job_id"),
+        F.col("item.position").alias("title"),
+        F.col("item.company").alias("company"),
+        F.col("item.location").alias("location"),
+        F.col("item.salary_min").try_cast("double").alias("salary_min"),
+        F.col("item.salary_max").try_cast("double").alias("salary_max"),
+        F.coalesce(F.array_join("item.tags", ","), F.lit("")).alias("skills"),
+        F.col("item.description").alias("description"),
+        F.col("item.date").alias("posted_date"),
         F.lit("remoteok").alias("source"),
     )
