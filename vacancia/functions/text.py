@@ -153,18 +153,37 @@ def tokens(c) -> Column:
 
 def content_words(c, stop_words=()) -> Column:
     """Tokens without the stop words."""
-    words = tokens(c)
-    if stop_words:
-        stops = sorted(stop_words)
-        words = F.filter(words, lambda w: ~w.isin(stops))
-    return words
+    words = F.split(F.lower(blank(c)), f"{NOT_WORD}+")
+    stops = sorted(stop_words)
+    if not stops:
+        return tokens(c)
+    return F.filter(words, lambda w: (F.length(w) > 1) & ~w.isin(stops))
 
 
 def with_bigrams(words) -> Column:
     """The words followed by every pair of neighbours, as "a b"."""
     words = col(words)
-    following = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
-    pairs = F.zip_with(
-        words, following, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b))
+    heads = F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
+    pairs = F.transform(heads, lambda w, i: F.concat(w, F.lit(" "), F.get(words, i + 1)))
+    return F.concat(words, pairs)
+
+
+def run_starts(ordered) -> Column:
+    """Positions in a sorted array where a new value begins.
+
+    ``ordered`` must be a stored column: the lambda reads it once per element.
+    """
+    ordered = col(ordered)
+    at = F.when(F.size(ordered) > 0, F.sequence(F.lit(0), F.size(ordered) - 1))
+    return F.filter(
+        at, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
     )
-    return F.concat(words, F.array_compact(pairs))
+
+
+def run_lengths(ordered, starts) -> Column:
+    """Array of (term, tf) from a sorted array and its run starts."""
+    ordered, starts = col(ordered), col(starts)
+    return F.transform(starts, lambda i, k: F.struct(
+        F.get(ordered, i).alias("term"),
+        (F.coalesce(F.get(starts, k + 1), F.size(ordered)) - i).cast("bigint").alias("tf"),
+    ))

@@ -1,8 +1,9 @@
 """TF-IDF in relational form: (document, term, weight) rows.
 
-Texts are partitioned by document once; counting, weighting and normalising all
-reuse that partitioning, and the vocabulary joins as a broadcast because
-``max_features`` bounds it.
+A document is one row, so its terms are counted inside the row: sorted, cut into
+runs, and only then exploded. Fitting shuffles nothing but map-side combined term
+counts. Weighting moves the texts once, by document, and the vocabulary joins as a
+broadcast because ``max_features`` bounds it.
 """
 
 from __future__ import annotations
@@ -17,24 +18,20 @@ BROADCAST_TERMS = 200_000
 
 
 def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words=(), bigrams=True) -> DataFrame:
-    """(doc_id, term, tf). Moving the texts is cheaper than moving their n-grams."""
+    """(doc_id, term, tf) without any aggregation across rows."""
+    words = docs.select(doc_id, X.content_words(text, stop_words).alias("_words"))
     terms = X.with_bigrams("_words") if bigrams else F.col("_words")
-    words = docs.select(doc_id, text).repartition(doc_id).select(
-        doc_id, X.content_words(text, stop_words).alias("_words")
-    )
-    rows = explode_items(words, [doc_id], terms, "term")
-    return rows.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+    ordered = words.select(doc_id, F.sort_array(terms).alias("_terms"))
+    runs = ordered.select(doc_id, "_terms", X.run_starts("_terms").alias("_at"))
+    counted = explode_items(runs, [doc_id], X.run_lengths("_terms", "_at"), "_run")
+    return counted.select(doc_id, "_run.term", "_run.tf")
 
 
 def fit(
     docs: DataFrame, doc_id: str, text: str, stop_words=(), bigrams=True,
     max_features: int | None = 7000, min_df: int = 2,
 ) -> DataFrame:
-    """Vocabulary (term, df, idf) with smooth idf.
-
-    Terms are counted without building (document, term) pairs across the network:
-    a document's terms are counted in its own partition first.
-    """
+    """Vocabulary (term, df, idf) with smooth idf; the most frequent terms, ties by term."""
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     vocabulary = (
         term_counts(docs, doc_id, text, stop_words, bigrams)
@@ -57,7 +54,10 @@ def transform(
     bigrams=True, max_features: int | None = 7000,
 ) -> DataFrame:
     """(doc_id, term, weight): unit-length TF-IDF rows over a fitted vocabulary."""
-    counts = term_counts(docs, doc_id, text, stop_words, bigrams)
+    # Whole texts move to their document's partition; the window below then needs no
+    # shuffle of the many term rows.
+    placed = docs.select(doc_id, text).repartition(doc_id)
+    counts = term_counts(placed, doc_id, text, stop_words, bigrams)
     idf = _vocabulary(vocabulary.select("term", "idf"), max_features)
     raw = counts.join(idf, "term").withColumn("weight", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(doc_id)))

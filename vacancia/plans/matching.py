@@ -7,20 +7,30 @@ from pyspark.sql import DataFrame, functions as F
 
 from vacancia.functions import enrich as E, text as X
 from vacancia.operators import classify as C, gap, nearest, tfidf
+from vacancia.session import materialize
 
 DISPLAY = ["job_title", "company", "location", "experience", "salary", "role_category",
            "skills", "job_url"]
 
 
 class Recommender:
-    """TF-IDF of the postings; ``recommend`` ranks postings for a table of profiles."""
+    """TF-IDF of the postings; ``recommend`` ranks postings for a table of profiles.
 
-    def __init__(self, jobs: DataFrame, stop_words=(), max_features: int = 7000, min_df: int = 2):
+    Fitting writes the vocabulary (``max_features`` rows) once; ``vocabulary`` takes a
+    stored one instead.
+    """
+
+    def __init__(
+        self, jobs: DataFrame, stop_words=(), max_features: int = 7000, min_df: int = 2,
+        vocabulary: DataFrame | None = None,
+    ):
         self.jobs = jobs.withColumn("recommendation_text", X.recommendation_text())
         self.options = {"stop_words": stop_words, "max_features": max_features}
-        self.vocabulary = tfidf.fit(
-            self.jobs, "job_id", "recommendation_text", min_df=min_df, **self.options
-        )
+        if vocabulary is None:
+            vocabulary = materialize(tfidf.fit(
+                self.jobs, "job_id", "recommendation_text", min_df=min_df, **self.options
+            ), "vocabulary")
+        self.vocabulary = vocabulary
 
     def weights(self) -> DataFrame:
         return tfidf.transform(
@@ -33,7 +43,7 @@ class Recommender:
     def scores(self, profiles: DataFrame, text: str, n: int, role: str | None = None,
                rows_per_block: int = 20_000) -> DataFrame:
         """(profile_id, job_id, score, rank); with ``role`` only postings of that role."""
-        queries = self.query_weights(profiles, text)
+        queries = materialize(self.query_weights(profiles, text), "queries")
         # Only terms some profile uses can score; the vocabulary bounds this list.
         used = F.broadcast(queries.select("term").distinct())
         docs = tfidf.vectors(self.weights().join(used, "term", "left_semi"), "job_id")
