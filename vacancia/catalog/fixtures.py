@@ -34,7 +34,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-# Orders grow with the line items, so that join is never left to a broadcast.
+# Orders grow with the line items, so that join is never left to a broadcast; it comes
+# first, so that everything after it runs on its many partitions.
 POSTINGS_BODY = """
 SELECT /*+ MERGE(orders) */
        concat(cast(l_orderkey AS string), '-', cast(l_linenumber AS string)) AS posting_ref,
@@ -55,10 +56,10 @@ SELECT /*+ MERGE(orders) */
             ELSE concat('Needs ', p_name, ' for ', p_type, ' at ', o_orderpriority) END AS description,
        cast(o_orderdate AS string) AS posted_date,
        cast(l_shipdate AS string) AS scraped_at
-FROM lineitem JOIN part ON p_partkey = l_partkey
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+     JOIN part ON p_partkey = l_partkey
      JOIN supplier ON s_suppkey = l_suppkey
      JOIN nation ON n_nationkey = s_nationkey
-     JOIN orders ON o_orderkey = l_orderkey
 """
 
 # Two parts per supplier make its skill profile; promo parts ask for a role no posting has.

@@ -339,7 +339,7 @@ SELECT source, cast(count(*) AS bigint) AS rows, cast(count(company) AS bigint)
 def stm_landing(spark, sf):
     root, schema = _batch_folder(spark, sf)
     table, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "progress")
-    stream.land(stream.read_batches(spark, root, schema, max_files=2), table, checkpoint)
+    stream.land(stream.read_batches(spark, root, schema, max_files=10), table, checkpoint)
     landed = spark.read.schema(schema).parquet(table)
     return landed.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count("company").alias("companies"))
 
@@ -348,6 +348,6 @@ def stm_landing(spark, sf):
 def stm_upsert_last(spark, sf):
     root, schema = _batch_folder(spark, sf)
     log, checkpoint = scratch_path(spark, "log"), scratch_path(spark, "progress")
-    arriving = stream.read_batches(spark, root, schema, max_files=2)
+    arriving = stream.read_batches(spark, root, schema, max_files=10)
     stream.upsert_last(arriving, log, checkpoint, ["job_id"], "scraped_at")
     return stream.current(spark, log, schema, ["job_id"], "scraped_at")

@@ -86,10 +86,7 @@ def _tall(*selects):
     f"SELECT '{k}' AS mart, {k} AS item, cast(count(*) AS bigint) AS job_count FROM silver WHERE {k} IS NOT NULL GROUP BY {k}"
     for k in ("company", "location", "job_title", "experience")]))
 def agg_demand_v1(spark, sf):
-    silver = X.silver(spark, sf)
-    return N.union_all([
-        M.demand(silver, k).select(F.lit(k).alias("mart"), F.col(k).alias("item"), "job_count")
-        for k in ("company", "location", "job_title", "experience")])
+    return M.demand_by_each(X.silver(spark, sf), ("company", "location", "job_title", "experience"))
 
 
 _KEYS = ("role_category", "company", "location", "experience_bucket", "source")
@@ -99,10 +96,7 @@ _KEYS = ("role_category", "company", "location", "experience_bucket", "source")
     f"SELECT '{k}' AS mart, {k} AS item, cast(count(*) AS bigint) AS job_count FROM gold WHERE {k} IS NOT NULL GROUP BY {k}"
     for k in _KEYS]))
 def agg_demand(spark, sf):
-    gold = X.gold(spark, sf)
-    return N.union_all([
-        M.demand(gold, k).select(F.lit(k).alias("mart"), F.col(k).alias("item"), "job_count")
-        for k in _KEYS])
+    return M.demand_by_each(X.gold(spark, sf), _KEYS)
 
 
 @query("agg_demand_v2", f"WITH {X.GOLD_V2} {counts('experience_group')}")

@@ -18,6 +18,15 @@ def demand(df: DataFrame, *keys: str, name: str = "job_count") -> DataFrame:
     return df.na.drop(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
+def demand_by_each(df: DataFrame, keys, name: str = "job_count") -> DataFrame:
+    """Several one-key marts as (mart, item, count) from one pass and one shuffle."""
+    pairs = F.array(*[F.struct(F.lit(k).alias("mart"), F.col(k).alias("item")) for k in keys])
+    rows = df.select(F.explode(pairs).alias("p")).select("p.*")
+    return rows.filter(F.col("item").isNotNull()).groupBy("mart", "item").agg(
+        F.count(F.lit(1)).alias(name)
+    )
+
+
 def row_total(df: DataFrame):
     """Row count as a scalar subquery."""
     return df.select(F.count(F.lit(1))).scalar()

@@ -1,9 +1,9 @@
 """TF-IDF in relational form: (document, term, weight) rows.
 
-A document is one row, so its terms are counted inside the row: sorted, cut into
-runs, and only then exploded. Fitting shuffles nothing but map-side combined term
-counts. Weighting moves the texts once, by document, and the vocabulary joins as a
-broadcast because ``max_features`` bounds it.
+Texts move once, by document: that spreads the costly tokenising evenly whatever the
+file layout, and weighting and normalising need no further shuffle. A document is one
+row, so its terms are counted inside the row: sorted, cut into runs, and only then
+exploded. The vocabulary joins as a broadcast because ``max_features`` bounds it.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ BROADCAST_TERMS = 200_000
 
 def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words=(), bigrams=True) -> DataFrame:
     """(doc_id, term, tf) without any aggregation across rows."""
-    words = docs.select(doc_id, X.content_words(text, stop_words).alias("_words"))
+    placed = docs.select(doc_id, text).repartition(doc_id)
+    words = placed.select(doc_id, X.content_words(text, stop_words).alias("_words"))
     terms = X.with_bigrams("_words") if bigrams else F.col("_words")
     ordered = words.select(doc_id, F.sort_array(terms).alias("_terms"))
     runs = ordered.select(doc_id, "_terms", X.run_starts("_terms").alias("_at"))
@@ -54,10 +55,7 @@ def transform(
     bigrams=True, max_features: int | None = 7000,
 ) -> DataFrame:
     """(doc_id, term, weight): unit-length TF-IDF rows over a fitted vocabulary."""
-    # Whole texts move to their document's partition; the window below then needs no
-    # shuffle of the many term rows.
-    placed = docs.select(doc_id, text).repartition(doc_id)
-    counts = term_counts(placed, doc_id, text, stop_words, bigrams)
+    counts = term_counts(docs, doc_id, text, stop_words, bigrams)
     idf = _vocabulary(vocabulary.select("term", "idf"), max_features)
     raw = counts.join(idf, "term").withColumn("weight", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(doc_id)))

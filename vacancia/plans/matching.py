@@ -53,6 +53,7 @@ class Recommender:
             cell = "cell_role"
             asked = asked.join(profiles.select("profile_id", F.col(role).alias(cell)), "profile_id")
             docs = docs.join(self.jobs.select("job_id", F.col("role_category").alias(cell)), "job_id")
+        asked, docs = materialize(asked, "asked"), materialize(docs, "job-vectors")
         ranked = nearest.top_documents(
             asked, docs, "profile_id", "job_id", n, cell, rows_per_block
         )
