@@ -67,6 +67,12 @@ def test_shares_and_empty_input(spark, jobs):
     assert demand.skill_demand(empty).columns == ["skill", "job_count"]
 
 
+def test_matrix_order(jobs):
+    rows = demand.sorted_role_skill(demand.role_skill(jobs)).collect()
+    assert [(r.role_category, r.skill, r.job_count) for r in rows] == [
+        ("BI", "excel", 1), ("BI", "sql", 1), ("DE", "sql", 3), ("DE", "etl", 1), ("DE", "spark", 1)]
+
+
 def test_counts_add_up(jobs):
     assert demand.demand(jobs, "role_category").agg(F.sum("job_count")).first()[0] == len(JOBS)
     each = demand.demand_by_each(jobs, ["role_category"])

@@ -128,6 +128,16 @@ def test_market_context_skips_empty_lines(spark, gold):
     assert "Profile match: 50.0%\nAvailable skills: sql" in text and "Missing" not in text
 
 
+def test_market_prompt_is_screened_as_a_whole(spark):
+    from vacancia.operators import screening
+
+    df = spark.createDataFrame(
+        [("jobs: 3", "which skills?"), ("jailbreak expert wanted", "ok?")], "context string, question string")
+    rows = screening.verdict(context.market_prompt(df, "question"), "prompt").collect()
+    assert rows[0].prompt == "\nJob Market Context:\njobs: 3\n\nUser Question:\nwhich skills?\n"
+    assert [r.is_safe for r in rows] == [True, False]
+
+
 def test_retrieval_context_orders_by_rank(spark):
     ranked = spark.createDataFrame(
         [(1, "q?", 2, "B", None, "", "", "two"), (1, "q?", 1, "A", "c", "l", "s", "one")],

@@ -278,15 +278,9 @@ def top_skills_per_role(spark, sf):
     return gap.ranked_role_skills(X.gold(spark, sf), 15)
 
 
-@query("srt_multi", f"""WITH {X.GOLD}, m AS ({_ROLE_SKILL})
-SELECT *, cast(row_number() OVER (ORDER BY role_category, job_count DESC, skill) AS integer) AS position FROM m""")
+@query("srt_multi", f"WITH {X.GOLD}, m AS ({_ROLE_SKILL}) SELECT * FROM m ORDER BY role_category, job_count DESC, skill")
 def srt_multi(spark, sf):
-    # The position column makes the order itself part of the check.
-    from pyspark.sql import Window
-
-    ordered = M.role_skill(X.gold(spark, sf)).orderBy("role_category", F.col("job_count").desc(), "skill")
-    w = Window.orderBy("role_category", F.col("job_count").desc(), "skill")
-    return ordered.withColumn("position", F.row_number().over(w))
+    return M.sorted_role_skill(M.role_skill(X.gold(spark, sf)))
 
 
 @query("top_learning_path", f"""WITH {X.GOLD}, {X.PROFILES}, {X.ranked_skills(15)}, owned AS (

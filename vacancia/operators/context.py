@@ -84,6 +84,13 @@ def market_context(jobs: DataFrame, profiles: DataFrame) -> DataFrame:
     return profiles.select("profile_id", F.concat_ws("\n", *market, *personal).alias("context"))
 
 
+def market_prompt(contexts: DataFrame, question: str) -> DataFrame:
+    """Adds the assembled prompt; screening may run over it instead of the bare question."""
+    return contexts.withColumn("prompt", F.concat(
+        F.lit("\nJob Market Context:\n"), F.col("context"),
+        F.lit("\n\nUser Question:\n"), X.blank(question), F.lit("\n")))
+
+
 def history(turns: DataFrame) -> DataFrame:
     """Chat turns in order. A range sort, so a very long conversation still splits."""
     return turns.select("conv_id", "turn", "role", F.col("text").alias("content")).orderBy(

@@ -62,11 +62,13 @@ def with_dedup_key(df: DataFrame) -> DataFrame:
 def source_sets(df: DataFrame, key="dedup_key") -> DataFrame:
     """Distinct sources per key and their sorted comma list.
 
-    Duplicates collapse map-side, so a hot key ships its distinct sources only.
+    Duplicates collapse map-side in a plain hash aggregate, so a hot key ships its
+    distinct sources only, and the lists are built from those few rows.
     """
-    sources = F.sort_array(F.collect_set("source"))
-    return df.groupBy(key).agg(
-        F.size(sources).cast("bigint").alias("source_count"),
+    pairs = df.select(key, "source").dropDuplicates()
+    sources = F.sort_array(F.collect_list("source"))
+    return pairs.groupBy(key).agg(
+        F.count("source").alias("source_count"),
         F.array_join(sources, ",").alias("sources_available"),
     )
 

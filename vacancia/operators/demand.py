@@ -61,6 +61,10 @@ def role_skill(df: DataFrame) -> DataFrame:
     return demand(skill_rows(df, ("role_category",)), "role_category", "skill")
 
 
+def sorted_role_skill(mart: DataFrame) -> DataFrame:
+    return mart.orderBy(F.col("role_category").asc(), F.col("job_count").desc(), "skill")
+
+
 def source_role(df: DataFrame) -> DataFrame:
     return share(demand(df, "source", "role_category"), df)
 

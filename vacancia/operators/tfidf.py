@@ -44,10 +44,11 @@ def fit(
     return vocabulary.select("term", "df", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
-def _vocabulary(vocabulary: DataFrame, max_features: int | None) -> DataFrame:
+def bounded(terms: DataFrame, max_features: int | None) -> DataFrame:
+    """A table with at most one row per vocabulary term, broadcast if that is a small bound."""
     if max_features and max_features <= BROADCAST_TERMS:
-        return F.broadcast(vocabulary)
-    return vocabulary
+        return F.broadcast(terms)
+    return terms
 
 
 def transform(
@@ -56,7 +57,7 @@ def transform(
 ) -> DataFrame:
     """(doc_id, term, weight): unit-length TF-IDF rows over a fitted vocabulary."""
     counts = term_counts(docs, doc_id, text, stop_words, bigrams)
-    idf = _vocabulary(vocabulary.select("term", "idf"), max_features)
+    idf = bounded(vocabulary.select("term", "idf"), max_features)
     raw = counts.join(idf, "term").withColumn("weight", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(doc_id)))
     return raw.select(doc_id, "term", (F.col("weight") / length).alias("weight"))

@@ -169,7 +169,7 @@ def bi_tables(df: DataFrame, band=D.SALARY_BAND) -> dict[str, DataFrame]:
         "top_companies": M.top(M.demand(df, "company"), 100, "company"),
         "top_locations": M.top(M.demand(df, "location"), 100, "location"),
         "source_role_matrix": M.source_role(df).orderBy(count_desc, "source", "role_category"),
-        "role_skill_matrix": M.role_skill(df).orderBy("role_category", count_desc, "skill"),
+        "role_skill_matrix": M.sorted_role_skill(M.role_skill(df)),
         "salary_insights": M.salary_insights(df),
         "source_quality": M.source_quality(df, *band),
         "experience_demand": M.share(M.demand(df, "experience_bucket"), df),

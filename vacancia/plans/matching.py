@@ -45,7 +45,7 @@ class Recommender:
         """(profile_id, job_id, score, rank); with ``role`` only postings of that role."""
         queries = materialize(self.query_weights(profiles, text), "queries")
         # Only terms some profile uses can score; the vocabulary bounds this list.
-        used = F.broadcast(queries.select("term").distinct())
+        used = tfidf.bounded(queries.select("term").distinct(), self.options["max_features"])
         docs = tfidf.vectors(self.weights().join(used, "term", "left_semi"), "job_id")
         asked = tfidf.vectors(queries, "profile_id")
         cell = None
