@@ -38,8 +38,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """Fresh path under the shared folder; never reused, so a retry cannot clash."""
-    return f"{shared_dir(spark)}/vacancia/{name}-{uuid.uuid4().hex}"
+    """Fresh path under the shared folder; never reused, so a retry cannot clash.
+
+    All paths of one application share a folder, which may go once the job is done.
+    """
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/vacancia/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df, name: str):
