@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vacancia.llm import license_scan, url_filter
+from vacancia.llm import bpe, license_scan, packing, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,6 +55,28 @@ def op1(spark, sf_dir):
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op5_byte_bpe")
+def op5(spark, sf_dir):
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern)
+    return bpe.decode(encoded, path, pattern).select(
+        "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op8_best_fit_packing")
+def op8(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def pack_documents(docs: DataFrame) -> DataFrame:
+    items = packing.pieces(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, capacity=2048)
+    return packing.pack(items, capacity=2048).select(
+        "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32",
+        "sequence_id", "offset")
+
+
 @query("op10_license_scan")
 def op10(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
