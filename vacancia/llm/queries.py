@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import bpe, license_scan, packing, url_filter
+from vacancia.llm import bpe, license_scan, packing, perplexity, rff_quality, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,6 +55,28 @@ def op1(spark, sf_dir):
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op3_perplexity_rules")
+def op3(spark, sf_dir):
+    return perplexity.judge(table(spark, sf_dir, "documents"))
+
+
+def held_out(doc_id: str = "doc_id"):
+    """Rows that labels are never learned from."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
+
+
+def quality_model(spark, docs: DataFrame, sf_dir) -> dict | None:
+    return rff_quality.fit(
+        docs.filter(~F.coalesce(held_out(), F.lit(True))), table(spark, sf_dir, "labels"), "quality")
+
+
+@query("op4_quality_classifier")
+def op4(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = rff_quality.score(docs, quality_model(spark, docs, sf_dir))
+    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @query("op5_byte_bpe")
 def op5(spark, sf_dir):
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
