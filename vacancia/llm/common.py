@@ -59,3 +59,47 @@ def joined(run: list[bytes], pad: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter((len(x) + len(pad) for x in run), np.int64, len(run))
     starts = np.concatenate([[0], np.cumsum(sizes)])
     return np.frombuffer(pad + pad.join(run), np.uint8), starts
+
+
+_BLANK = np.zeros(256, bool)
+_BLANK[list(BLANKS)] = True
+_BASE = 0x9E3779B97F4A7C15
+_powers: list[np.ndarray] = []
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Bits of 64-bit hashes stirred."""
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(32))
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, modulo 2**64."""
+    if not _powers or len(_powers[0]) < n:
+        n = max(n, 1 << 16)
+        _powers[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)]))
+                      for x in (_BASE, pow(_BASE, -1, 1 << 64))]
+    return _powers
+
+
+def segment_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ``data[start:end]``; equal segments are equal wherever they lie."""
+    power, inverse = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:len(data)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * inverse[starts])
+
+
+def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the words in bytes that begin and end with a blank."""
+    blank = _BLANK[data]
+    return np.flatnonzero(blank[:-1] & ~blank[1:]) + 1, np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+
+
+def spread(run: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, word starts, word ends, first word of each text) of texts joined by blanks."""
+    whole = b"\n" + b"\n".join(run) + b"\n"
+    starts, ends = words_of(np.frombuffer(whole, np.uint8))
+    begins = np.cumsum([1, *(len(x) + 1 for x in run)])
+    return whole, starts, ends, np.searchsorted(starts, begins)

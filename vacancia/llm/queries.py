@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import bpe, license_scan, packing, perplexity, rff_quality, url_filter
+from vacancia.llm import bpe, license_scan, packing, perplexity, rff_quality, superkmers, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,6 +99,12 @@ def pack_documents(docs: DataFrame) -> DataFrame:
         "sequence_id", "offset")
 
 
+@query("op9_superkmer_dedup")
+def op9(spark, sf_dir):
+    return superkmers.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op10_license_scan")
 def op10(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
