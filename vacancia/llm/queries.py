@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import bpe, license_scan, packing, perplexity, rff_quality, superkmers, url_filter
+from vacancia.llm import bpe, license_scan, packing, partenum, perplexity, rff_quality, superkmers, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,6 +86,11 @@ def op5(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op7_partenum_join")
+def op7(spark, sf_dir):
+    return partenum.link(table(spark, sf_dir, "documents").select("doc_id", "text"), w=3, percent=90)
+
+
 @query("op8_best_fit_packing")
 def op8(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
