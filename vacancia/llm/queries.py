@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import bpe, license_scan, packing, partenum, perplexity, rff_quality, superkmers, url_filter
+from vacancia.llm import bpe, license_scan, packing, partenum, perplexity, rff_quality, superkmers, syncmers, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,6 +55,11 @@ def op1(spark, sf_dir):
     return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op2_syncmers")
+def op2(spark, sf_dir):
+    return syncmers.compare(table(spark, sf_dir, "documents"))
+
+
 @query("op3_perplexity_rules")
 def op3(spark, sf_dir):
     return perplexity.judge(table(spark, sf_dir, "documents"))
