@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vacancia.llm import bpe, license_scan, packing, partenum, perplexity, rff_quality, superkmers, syncmers, url_filter
+from vacancia import session
+from vacancia.llm import bpe, license_scan, packing, partenum, perplexity, rff_quality, superkmers, syncmers, token_rollup, url_filter
+from vacancia.llm.common import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +30,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Versions of the token counts: documents begin with the first and move to the second.
+ROLLUP_VERSIONS = ("byte_bpe_50k", "byte_bpe_multi_50k")
+
 #: The rules of the URL query.
 URL_RULES = (
     ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
@@ -91,6 +96,29 @@ def op5(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op6_token_rollup")
+def op6(spark, sf_dir):
+    """All documents arrive, odd ids move to the second tokenizer, then copies are deleted."""
+    first, second = ROLLUP_VERSIONS
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang").withColumn(
+        "digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    counted = stored(token_rollup.count_tokens(
+        docs, {v: public_tokenizers.path(f"{v}.tiktoken") for v in ROLLUP_VERSIONS}, public_tokenizers.PATTERN), "counts")
+    state = lambda version: F.struct(
+        "source", "lang", version.alias("version"), F.col("tokens")[version].alias("tokens"))
+    now = F.when(F.col("doc_id") % 2 == 1, F.lit(second)).otherwise(F.lit(first))
+    nothing = F.lit(None).cast("struct<source:string,lang:string,version:string,tokens:bigint>")
+    load = counted.select(nothing.alias("old"), state(F.lit(first)).alias("new"))
+    move = counted.filter("doc_id % 2 = 1").select(state(F.lit(first)).alias("old"), state(F.lit(second)).alias("new"))
+    kept = counted.groupBy("digest").agg(F.min("doc_id").alias("kept"))
+    copies = counted.join(kept, "digest").filter("doc_id <> kept").select(state(now).alias("old"), nothing.alias("new"))
+    rollup = token_rollup.Rollup(spark, session.scratch_path(spark, "rollup"))
+    for batch, changes in (("load", load), ("move", move), ("load", load), ("copies", copies), ("move", move)):
+        rollup.commit(batch, changes)
+    rollup.fold()
+    return rollup.totals()
+
+
 @query("op7_partenum_join")
 def op7(spark, sf_dir):
     return partenum.link(table(spark, sf_dir, "documents").select("doc_id", "text"), w=3, percent=90)
