@@ -243,7 +243,8 @@ def covered_ranges(docs: DataFrame, k: int = 13) -> DataFrame:
 def dedup(docs: DataFrame, k: int = 13, doc_id: str = "doc_id", text: str = "text", keep_row: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every document; ``kept`` are its other words.
 
-    ``keep_row`` adds the document's own columns as the struct ``row``.
+    ``keep_row`` adds the document's own columns but the text as the struct ``row``, and
+    ``text``: as it was where nothing is removed, else the kept words.
     """
     ship(docs.sparkSession)
     whole = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
@@ -268,11 +269,13 @@ def dedup(docs: DataFrame, k: int = 13, doc_id: str = "doc_id", text: str = "tex
                     keep = np.cumsum(gone[:n]) == 0
                     removed = n - int(keep.sum())
                     words = [w for w, x in zip(words, keep.tolist(), strict=True) if x]
-                out.append((n, removed, b" ".join(words).decode()))
-            n, removed, kept = zip(*out, strict=True) if out else ([], [], [])
+                kept = b" ".join(words).decode()
+                out.append((n, removed, kept, kept if removed else t))
+            n, removed, kept, texts = zip(*out, strict=True) if out else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string()),
-                 *batch.columns[4:]], names=["doc_id", "n_words", "n_removed", "kept", *["row"] * keep_row])
+                 *batch.columns[4:], *[pa.array(texts, pa.string())] * keep_row],
+                names=["doc_id", "n_words", "n_removed", "kept", *["row", "text"] * keep_row])
 
-    row = f", row {both.schema['row'].dataType.simpleString()}" if keep_row else ""
+    row = f", row {both.schema['row'].dataType.simpleString()}, text string" if keep_row else ""
     return both.mapInArrow(run, f"doc_id long, n_words long, n_removed long, kept string{row}")
