@@ -1,6 +1,8 @@
 import gzip
 import json
 
+import pytest
+
 from vacancia import schema as S
 from vacancia.operators import standardise as N
 from vacancia.sources import csv_files, json_payloads, sinks, web_pages
@@ -35,17 +37,42 @@ def test_bad_files_and_rows_are_recorded_not_fatal(spark, tmp_path):
     assert bad.first().record == "c,d,e"
 
 
+def test_headers_and_rows_of_any_length(spark, tmp_path):
+    write(tmp_path / "p" / "bom.csv", "\ufefftitle,company\nT1,A\n")
+    write(tmp_path / "p" / "twice.csv", "Title,title\nT2,x\nT3,\n")
+    write(tmp_path / "p" / "short.csv", "title,company,salary\nT4,B\nT5\n")
+    write(tmp_path / "p" / "wide.csv", "title," + ",".join(f"\u20b9{i:05d}" for i in range(15000)) + "\nT6,1\n")
+    write(tmp_path / "p" / "long.csv", "title,salary\n" + "T7,\u20b9\u20b9\u20b9\n" * 9000)
+    write(tmp_path / "p" / "one.csv", 'title\nT8\n"T9, ""q"""\n')
+    (tmp_path / "p" / "latin.csv").write_bytes("title,company\nT10,caf\xe9\nT11,ok\n".encode("latin-1"))
+    for multi_line in (True, False):
+        rows, bad, headers = csv_files.read_tree(spark, f"file://{tmp_path}", N.standardise_silver, multi_line)
+        titles = {r.job_title: r["count"] for r in rows.groupBy("job_title").count().collect()}
+        assert titles == {"T1": 1, "T2": 1, "T3": 1, "T4": 1, "T5": 1, "T6": 1, "T7": 9000, "T8": 1, 'T9, "q"': 1, "T11": 1}
+        audit = {r.file_name: r for r in csv_files.file_audit(headers, rows, bad).collect()}
+        assert all(r.status == "success" for r in audit.values()) and audit["latin.csv"].bad_rows == 1
+        assert audit["wide.csv"].columns == 15001 and bad.count() == 1
+
+
+def test_a_broken_compressed_file_fails(spark, tmp_path):
+    whole = gzip.compress(b"a\n" + b"x1234\n" * 20000)
+    (tmp_path / "x.csv.gz").write_bytes(whole[:len(whole) // 2])
+    with pytest.raises(Exception):
+        csv_files.read_or_gz(spark, f"file://{tmp_path}/x.csv", S.strings(["a"])).count()
+
+
 def test_source_reads_batches_and_skips_samples(spark, tmp_path):
     write(tmp_path / "s" / "batches" / "s_1.csv", "job_id,title\n1,a\n")
     write(tmp_path / "s" / "master.csv", "job_id,title\n2,b\n")
     write(tmp_path / "s" / "My_SAMPLE.csv", "job_id,title\n3,c\n")
-    rows, _ = csv_files.read_source(spark, f"file://{tmp_path}", "s", N.standardise_master)
+    rows, _, headers = csv_files.read_source(spark, f"file://{tmp_path}", "s", N.standardise_master)
+    assert headers.count() == 2
     assert sorted(r.job_id for r in rows.collect()) == ["1", "2"]
     assert {r.source for r in rows.collect()} == {"s"}
 
 
 def test_missing_source_is_an_empty_frame(spark, tmp_path):
-    rows, bad = csv_files.read_source(spark, f"file://{tmp_path}", "none", N.standardise_master)
+    rows, bad, _ = csv_files.read_source(spark, f"file://{tmp_path}", "none", N.standardise_master)
     assert rows.count() == 0 and rows.columns[:2] == ["job_id", "title"] and bad.count() == 0
 
 

@@ -1,5 +1,5 @@
 from vacancia import schema as S
-from vacancia.operators import dedup
+from vacancia.operators import dedup, standardise as N
 from vacancia.streaming import landing
 
 
@@ -12,10 +12,11 @@ def put(tmp_path, name, rows):
 
 def test_landing_picks_up_only_new_files(spark, tmp_path):
     schema = S.strings(["job_id", "title", "scraped_at"])
-    table, progress = f"file://{tmp_path}/table", f"file://{tmp_path}/progress"
+    table, progress, rejects = (f"file://{tmp_path}/{n}" for n in ("table", "progress", "rejects"))
 
     def run():
-        landing.land(landing.read_batches(spark, f"file://{tmp_path}/in", schema), table, progress)
+        stream = landing.read_batches(spark, f"file://{tmp_path}/in")
+        landing.land(stream, table, progress, rejects, N.by_name(schema))
         return spark.read.parquet(table).count()
 
     put(tmp_path, "1.csv", [("1", "a", "1")])
@@ -23,16 +24,23 @@ def test_landing_picks_up_only_new_files(spark, tmp_path):
     put(tmp_path, "2.csv", [("2", "b", "1"), ("3", "c", "1")])
     assert run() == 3
     assert run() == 3
+    # Another column order, a short row and a row with a field too many.
+    (tmp_path / "in" / "3.csv").write_text("title,job_id,scraped_at\nd,4,1\ne,5\nf,6,1,x\n")
+    assert run() == 5
+    got = {r.job_id: (r.title, r.scraped_at) for r in spark.read.parquet(table).collect()}
+    assert got["4"] == ("d", "1") and got["5"] == ("e", None)
+    assert [r.record for r in spark.read.parquet(f"{rejects}/rows").collect()] == ["f,6,1,x"]
+    assert sum(r.bad_rows for r in spark.read.parquet(f"{rejects}/files").collect()) == 1
 
 
 def test_upsert_stream_equals_batch_twin(spark, tmp_path):
     schema = S.strings(["job_id", "title", "scraped_at"])
-    log, progress = f"file://{tmp_path}/log", f"file://{tmp_path}/progress"
+    log, progress, rejects = (f"file://{tmp_path}/{n}" for n in ("log", "progress", "rejects"))
     source = f"file://{tmp_path}/in"
     for i in range(4):
         put(tmp_path, f"{i}.csv", [(str(j % 5), f"t{i}{j}", str((i * 7 + j) % 4)) for j in range(10)])
-        stream = landing.read_batches(spark, source, schema, max_files=1)
-        landing.upsert_last(stream, log, progress, ["job_id"], "scraped_at")
+        stream = landing.read_batches(spark, source, max_files=1)
+        landing.upsert_last(stream, log, progress, rejects, N.by_name(schema), ["job_id"], "scraped_at")
     now = landing.current(spark, log, schema, ["job_id"], "scraped_at")
     batch = dedup.last_by_id(spark.read.schema(schema).option("header", True).csv(source), "scraped_at")
     assert now.exceptAll(batch).count() == 0 and batch.exceptAll(now).count() == 0

@@ -26,14 +26,17 @@ def main() -> None:
     add("roles", "gold", "out")
     add("recommender", "gold", "out")
     add("advise", "gold", "models", "profiles", "out")
+    for job in ("silver", "master", "portal"):
+        commands.choices[job].add_argument(
+            "--one-line-records", action="store_true", help="no field holds a line end: split large files")
     a = parser.parse_args()
     spark = SparkSession.builder.appName(f"vacancia-{a.job}").getOrCreate()
     if a.job == "silver":
-        jobs.build_silver(spark, a.raw, a.out, a.stamp)
+        jobs.build_silver(spark, a.raw, a.out, a.stamp, not a.one_line_records)
     elif a.job == "master":
-        jobs.build_master(spark, a.raw, a.sources.split(","), a.out)
+        jobs.build_master(spark, a.raw, a.sources.split(","), a.out, not a.one_line_records)
     elif a.job == "portal":
-        jobs.build_portal_master(spark, a.raw, a.source, a.out)
+        jobs.build_portal_master(spark, a.raw, a.source, a.out, not a.one_line_records)
     elif a.job == "gold":
         jobs.build_gold(spark, a.silver, a.out, a.stamp)
     elif a.job == "bi":

@@ -65,32 +65,44 @@ def src_batches_glob(spark, sf):
     put(p.filter("source = 'portal_2'"), f"{root}/shop/batches/shop_2.csv")
     put(p.filter("source = 'portal_3'"), f"{root}/shop/shop_Sample.csv")
     put(p.filter("source = 'portal_4'"), f"{root}/shop/shop_master.csv")
-    rows, _ = csv_files.read_source(spark, root, "shop", N.standardise_master)
+    rows, _, _ = csv_files.read_source(spark, root, "shop", N.standardise_master)
     return rows.drop("file_path")
 
 
+# Files with one trap each: (folder, content, status, rows, bad rows, rows with a title).
+_TRAPS = (
+    ("portal_bom", "\ufefftitle,company\na,b\n", "success", 1, 0, 1),
+    ("portal_twice", "Title,title,company\na,b,c\nd,,e\n", "success", 2, 0, 2),
+    ("portal_short", "title,company,location\na,b\nc\nd,e,f\n", "success", 3, 0, 3),
+    ("portal_long", "title,company\na,b,c,d\n\"x,\"\"y\"\"\nz\",b\n", "success", 1, 1, 1),
+    ("portal_empty", "", "failed: No columns to parse from file", 0, 0, 0),
+)
+
+
 @query("src_tolerant", """WITH marked AS (
   SELECT concat('portal_', cast(l_linenumber % 5 AS varchar)) AS source, l_suppkey % 13 = 0 AS broken FROM lineitem)
 SELECT source, 'success' AS status, cast(count(*) FILTER (NOT broken) AS bigint) AS raw_count,
-       cast(count(*) FILTER (broken) AS bigint) AS bad_rows FROM marked GROUP BY source
-UNION ALL SELECT 'portal_empty', 'failed: No columns to parse from file', 0, 0""")
+       cast(count(*) FILTER (broken) AS bigint) AS bad_rows,
+       cast(count(*) FILTER (NOT broken) AS bigint) AS titled FROM marked GROUP BY source
+UNION ALL SELECT * FROM (VALUES """ + ", ".join(str((t[0], *t[2:])) for t in _TRAPS) + ")")
 def src_tolerant(spark, sf):
     root = scratch_path(spark, "tolerant")
     lines = X.table(spark, sf, "lineitem").select(
         F.concat(F.lit("portal_"), (F.col("l_linenumber") % 5).cast("string")).alias("portal"),
-        F.col("l_orderkey").cast("string").alias("title"),
+        # Three-byte characters all over the file.
+        F.concat(F.lit("\u20b9"), F.col("l_orderkey").cast("string")).alias("title"),
         # Unquoted commas give these rows one field too many.
         F.when(F.col("l_suppkey") % 13 == 0, "a,b").otherwise("a").alias("company"))
     for portal in PORTALS:
         rows = lines.filter(F.col("portal") == portal).drop("portal")
         rows.write.option("header", True).option("quote", "").csv(f"{root}/{portal}")
-    spark.createDataFrame([("",)], "value string").coalesce(1).write.text(f"{root}/portal_empty")
-    files = csv_files.list_files(spark, f"{root}/*/*.csv", f"{root}/*/*.txt")
-    headers = csv_files.file_headers(files)
-    rows, bad = csv_files.read_files(spark, headers, N.standardise_silver)
-    audit = csv_files.file_audit(headers, rows, bad)
-    return audit.groupBy("source", "status").agg(
+    for name, content, *_ in _TRAPS:
+        spark.createDataFrame([(content,)], "value string").coalesce(1).write.text(f"{root}/{name}")
+    rows, bad, headers = csv_files.read_globs(spark, [f"{root}/*/*.csv", f"{root}/*/*.txt"], N.standardise_silver)
+    audit = csv_files.file_audit(headers, rows, bad).groupBy("source", "status").agg(
         F.sum("raw_count").alias("raw_count"), F.sum("bad_rows").alias("bad_rows"))
+    titled = rows.groupBy("source").agg(F.count("job_title").alias("titled"))
+    return audit.join(titled, "source", "left").na.fill(0, ["titled"])
 
 
 @query("src_gz_fallback", f"""WITH {X.POSTINGS}
@@ -325,29 +337,40 @@ def rep_file_shapes(spark, sf):
 # --- streams -------------------------------------------------------------------------
 
 
+# A row with a field too many, for the last portal's folder.
+_BAD_BATCH = "job_id,title\n1,a,b\n"
+
+
 def _batch_folder(spark, sf):
-    """A growing folder: one batch per portal, in order."""
+    """A growing folder: one batch per portal, each with its own column order, and a bad row."""
     root = scratch_path(spark, "arriving")
     rows = materialize(C.master(spark, sf), "master")
-    for portal in PORTALS:
-        sinks.csv_writer(rows.filter(F.col("source") == portal)).csv(f"{root}/{portal}")
+    for i, portal in enumerate(PORTALS):
+        columns = rows.columns[2 * i:] + rows.columns[:2 * i]
+        sinks.csv_writer(rows.filter(F.col("source") == portal).select(columns)).csv(f"{root}/{portal}")
+    spark.createDataFrame([(_BAD_BATCH,)], "value string").coalesce(1).write.text(f"{root}/portal_bad")
     return root, rows.schema
 
 
 @query("stm_landing", f"""WITH {C._MASTER}
-SELECT source, cast(count(*) AS bigint) AS rows, cast(count(company) AS bigint) AS companies FROM master GROUP BY source""")
+SELECT source, cast(count(*) AS bigint) AS rows, cast(count(company) AS bigint) AS companies,
+       cast(0 AS bigint) AS bad_rows FROM master GROUP BY source
+UNION ALL SELECT 'portal_bad', 0, 0, 1""")
 def stm_landing(spark, sf):
     root, schema = _batch_folder(spark, sf)
-    table, checkpoint = scratch_path(spark, "landed"), scratch_path(spark, "progress")
-    stream.land(stream.read_batches(spark, root, schema, max_files=10), table, checkpoint)
+    table, checkpoint, rejects = (scratch_path(spark, n) for n in ("landed", "progress", "rejects"))
+    stream.land(stream.read_batches(spark, root, max_files=10), table, checkpoint, rejects, N.standardise_master)
     landed = spark.read.schema(schema).parquet(table)
-    return landed.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count("company").alias("companies"))
+    counts = landed.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count("company").alias("companies"))
+    files = spark.read.parquet(f"{rejects}/files")
+    bad = files.groupBy("source").agg(F.sum("bad_rows").alias("bad_rows"))
+    return bad.join(counts, "source", "left").na.fill(0).select("source", "rows", "companies", "bad_rows")
 
 
 @query("stm_upsert_last", C.LAST_ID)
 def stm_upsert_last(spark, sf):
     root, schema = _batch_folder(spark, sf)
-    log, checkpoint = scratch_path(spark, "log"), scratch_path(spark, "progress")
-    arriving = stream.read_batches(spark, root, schema, max_files=10)
-    stream.upsert_last(arriving, log, checkpoint, ["job_id"], "scraped_at")
+    log, checkpoint, rejects = (scratch_path(spark, n) for n in ("log", "progress", "rejects"))
+    arriving = stream.read_batches(spark, root, max_files=10)
+    stream.upsert_last(arriving, log, checkpoint, rejects, N.standardise_master, ["job_id"], "scraped_at")
     return stream.current(spark, log, schema, ["job_id"], "scraped_at")

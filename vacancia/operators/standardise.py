@@ -50,6 +50,16 @@ def standardise_silver(df: DataFrame, source, keep=()) -> DataFrame:
     return df.select(*cols, _source(source), *keep)
 
 
+def by_name(schema):
+    """A standardiser to the columns of ``schema``, found by name; others are NULL."""
+
+    def standardise(df: DataFrame, source, keep=()) -> DataFrame:
+        cols = _project(df, {}, [f.lower() for f in schema.fieldNames()], fold_case=True)
+        return df.select(*[c.alias(f) for c, f in zip(cols, schema.fieldNames())], *keep)
+
+    return standardise
+
+
 def backfill(df: DataFrame, columns=S.GOLD_REQUIRED, fill_null: bool = False) -> DataFrame:
     """Add absent columns as empty text; optionally blank the NULLs of all text columns."""
     missing = {c: F.lit("") for c in columns if c not in df.columns}

@@ -15,9 +15,12 @@ from vacancia.session import materialize
 from vacancia.sources import csv_files, sinks
 
 
-def build_silver(spark: SparkSession, raw: str, out: str, stamp: str) -> None:
-    """``<raw>/<source>/*.csv`` to ``silver_jobs``, the audit and the bad rows."""
-    rows, bad, headers = csv_files.read_tree(spark, raw, N.standardise_silver)
+def build_silver(spark: SparkSession, raw: str, out: str, stamp: str, multi_line: bool = True) -> None:
+    """``<raw>/<source>/*.csv`` to ``silver_jobs``, the audit and the bad rows.
+
+    ``multi_line=False`` reads every line as a record, so that large files are split.
+    """
+    rows, bad, headers = csv_files.read_tree(spark, raw, N.standardise_silver, multi_line)
     frame = rows.drop("file_path")
     silver = G.silver(frame, F.lit(stamp).cast("timestamp"))
     sinks.write_table(silver, f"{out}/silver_jobs", ["source"])
@@ -27,25 +30,29 @@ def build_silver(spark: SparkSession, raw: str, out: str, stamp: str) -> None:
     sinks.write_table(bad, f"{out}/bad_rows")
 
 
-def build_master(spark: SparkSession, raw: str, sources: list[str], out: str) -> None:
-    """Cross-source master with best-row dedup and its two reports."""
-    frames = [csv_files.read_source(spark, raw, s, N.standardise_master)[0] for s in sources]
-    loaded = materialize(N.union_all(frames).drop("file_path"), "master-raw")
+def build_master(spark: SparkSession, raw: str, sources: list[str], out: str, multi_line: bool = True) -> None:
+    """Cross-source master with best-row dedup, its two reports, bad rows and file audit."""
+    read = [csv_files.read_source(spark, raw, s, N.standardise_master, multi_line) for s in sources]
+    loaded = materialize(N.union_all([rows for rows, _, _ in read]).drop("file_path"), "master-raw")
+    sinks.write_table(N.union_all([bad for _, bad, _ in read]), f"{out}/bad_rows")
+    sinks.write_table(
+        N.union_all([csv_files.file_audit(headers, rows, bad) for rows, bad, headers in read]), f"{out}/file_audit")
     sinks.write_table(loaded, f"{out}/jobs_master_raw", ["source"])
     sinks.write_table(G.master(loaded), f"{out}/jobs_clean")
     sinks.write_table(reports.rows_per_source(loaded), f"{out}/source_report")
     sinks.write_table(reports.dedup_summary(loaded), f"{out}/dedup_report")
 
 
-def build_portal_master(spark: SparkSession, raw: str, source: str, out: str) -> None:
+def build_portal_master(spark: SparkSession, raw: str, source: str, out: str, multi_line: bool = True) -> None:
     """One portal's batches to its raw master and its newest row per posting.
 
     Postings without any id (a portal that has none) go by title, company, location.
     The batch of a row is the name of its file, which carries the time stamp.
     """
-    files = csv_files.list_files(spark, f"{raw}/{source}/batches/*.csv")
-    rows, _ = csv_files.read_files(
-        spark, csv_files.file_headers(files), N.standardise_master, source)
+    rows, bad, headers = csv_files.read_globs(
+        spark, [f"{raw}/{source}/batches/*.csv"], N.standardise_master, source, multi_line)
+    sinks.write_table(bad, f"{out}/{source}_bad_rows")
+    sinks.write_table(csv_files.file_audit(headers, rows, bad), f"{out}/{source}_file_audit")
     sinks.write_table(rows.drop("file_path"), f"{out}/{source}_master_raw")
     named = rows.withColumn("batch_ts", F.regexp_extract("file_path", r"([^/]+)$", 1)).drop("file_path")
     with_id, without = named.filter("job_id IS NOT NULL"), named.filter("job_id IS NULL")
@@ -130,5 +137,6 @@ def advise(spark: SparkSession, gold_path: str, models: str, profiles: DataFrame
     rec = plan.Recommender(
         jobs, stop_words, vocabulary=spark.read.parquet(f"{models}/vocabulary"))
     role_model = PipelineModel.load(f"{models}/best_role_model")
-    asked = plan.predict(role_model, profiles, "profile_text", "combined_text")
+    # Several branches read the predictions; the model runs once.
+    asked = materialize(plan.predict(role_model, profiles, "profile_text", "combined_text"), "predicted")
     sinks.write_table(plan.advise(asked, jobs, rec, "predicted_role"), out)
