@@ -15,7 +15,6 @@ nothing. Further columns do not matter; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +24,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vacancia.llm.common import blocks, mixed, segment_hashes, ship, spread, stored
+from vacancia.llm.common import blocks, mixed, segment_hashes, ship, spread, stored, words_of
 
 COMMON = 1 / 20_000
 BUCKET_BYTES = 4_000_000
 _FLUSH = 12 << 20
+_BLOCK = 1 << 20
 _RANGES = "doc_id long, version long, starts array<int>, stops array<int>"
 _INTS = pa.list_(pa.int32())
 
@@ -44,7 +44,7 @@ def common_words(docs: DataFrame, share: float = COMMON) -> tuple[np.ndarray, in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, texts in blocks(batch.column(0).to_pylist()):
+            for _, texts in blocks(batch.column(0).to_pylist(), _BLOCK):
                 whole, starts, ends, _ = spread(texts)
                 words, counts = np.unique(
                     segment_hashes(np.frombuffer(whole, np.uint8), starts, ends), return_counts=True)
@@ -70,129 +70,163 @@ def _least(rank: np.ndarray, k: int) -> np.ndarray:
     return np.minimum(out[:len(rank) - k + 1], out[k - width:]) if k > width else out
 
 
-def _cover(where: dict, key: tuple, start: int, stop: int) -> None:
-    """Word range [start, stop) added to a document's ranges."""
-    ranges = where[key]
-    if ranges and start <= ranges[-1][1] and start >= ranges[-1][0]:
-        ranges[-1][1] = max(ranges[-1][1], stop)
-    else:
-        ranges.append([start, stop])
-
-
-def _range_rows(where: dict) -> list[pa.Array]:
-    return [pa.array([k[0] for k in where], pa.int64()), pa.array([k[1] for k in where], pa.int64()),
-            pa.array([[r[0] for r in v] for v in where.values()], _INTS),
-            pa.array([[r[1] for r in v] for v in where.values()], _INTS)]
+def _range_rows(doc: np.ndarray, version: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[pa.Array]:
+    """One row for each document of word ranges, overlapping ones merged."""
+    order = np.lexsort((stop, start, version, doc))
+    doc, version, start, stop = doc[order], version[order], start[order], stop[order]
+    other = np.ones(len(doc), bool)
+    other[1:] = (doc[1:] != doc[:-1]) | (version[1:] != version[:-1])
+    of = np.cumsum(other)
+    # Ends so far within a document: documents are lifted apart, then compared at once.
+    lift = of * (int(stop.max(initial=0)) + 1)
+    reach = np.maximum.accumulate(stop + lift) - lift
+    fresh = other.copy()
+    fresh[1:] |= start[1:] > reach[:-1]
+    heads = np.flatnonzero(fresh)
+    last = np.append(heads[1:], len(doc))[:len(heads)] - 1
+    offsets = pa.array(np.append(np.flatnonzero(other[heads]), len(heads)).astype(np.int32))
+    firsts = np.flatnonzero(other)
+    return [pa.array(doc[firsts]), pa.array(version[firsts]),
+            pa.ListArray.from_arrays(offsets, pa.array(start[heads].astype(np.int32))),
+            pa.ListArray.from_arrays(offsets, pa.array(reach[last].astype(np.int32)))]
+
+
+class _Packer:
+    """Super-k-mers of a task: equal strings meet before they travel."""
+
+    NAMES = ["bucket", "text", "numbers", "places", "doc_id", "version", "starts", "stops"]
+
+    def __init__(self, k: int, common: np.ndarray, buckets: int):
+        self.k, self.common, self.buckets = k, common, buckets
+        self.parts, self.held, self.turn = [], 0, 0
+        self.press = zstandard.ZstdCompressor(level=3)
+
+    def add(self, texts: list[bytes], ids: np.ndarray, versions: np.ndarray) -> None:
+        k = self.k
+        whole, starts, ends, begins = spread(texts)
+        if len(starts) < k:
+            return
+        data = np.frombuffer(whole, np.uint8)
+        word = segment_hashes(data, starts, ends)
+        rank = word >> np.uint64(1)
+        if len(self.common):
+            near = np.minimum(np.searchsorted(self.common, word), len(self.common) - 1)
+            rank = rank | ((self.common[near] == word).astype(np.uint64) << np.uint64(63))
+        least = _least(rank, k)
+        doc = np.repeat(np.arange(len(texts)), np.diff(begins))
+        inside = doc[:len(least)] == doc[k - 1:]
+        new = ~inside
+        new[0] = True
+        new[1:] |= (least[1:] != least[:-1]) | (doc[1:len(least)] != doc[:len(least) - 1])
+        edges = np.flatnonzero(new)
+        stops = np.append(edges[1:], len(least))
+        real = inside[edges]
+        edges, stops = edges[real], stops[real]
+        if not len(edges):
+            return
+        a, b, of = starts[edges], ends[stops + k - 2], doc[edges]
+        # Words apart by anything but one space are joined by one.
+        odd = np.concatenate([[0], np.cumsum((starts[1:] - ends[:-1] != 1) | (data[ends[:-1]] != 0x20))])
+        odd = odd[stops + k - 2] > odd[edges]
+        self.parts.append((
+            segment_hashes(data, a, b) ^ mixed((b - a).astype(np.uint64)), ids[of], versions[of],
+            edges - begins[of], stops - edges + k - 1, mixed(least[edges]) % np.uint64(self.buckets),
+            a, b, odd, np.full(len(edges), len(self.parts)), whole))
+        self.held += len(whole)
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if not self.parts:
+            return
+        *columns, wholes = zip(*self.parts, strict=True)
+        string, doc, version, at, size, bucket, a, b, odd, part = map(np.concatenate, columns)
+        self.parts, self.held, self.turn = [], 0, self.turn + 1
+        order = np.lexsort((at, version, doc, string))
+        string, doc, version, at = string[order], doc[order], version[order], at[order]
+        head = np.ones(len(order), bool)
+        head[1:] = string[1:] != string[:-1]
+        # A document after the smallest one that has the string loses all of it.
+        stays = doc == doc[head][np.cumsum(head) - 1]
+        gone = ~stays
+        if gone.any():
+            rows = _range_rows(doc[gone], version[gone], at[gone], at[gone] + size[order][gone])
+            n = len(rows[0])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((np.arange(n) + self.turn) % self.buckets), *(pa.nulls(n, pa.binary()) for _ in range(3)), *rows],
+                names=self.NAMES)
+        first = np.ones(len(order), bool)
+        first[1:] = head[1:] | (doc[1:] != doc[:-1]) | (version[1:] != version[:-1])
+        first, order = first[stays], order[stays]
+        doc, version, at = doc[stays], version[stays], at[stays].astype("<i4")
+        firsts = np.flatnonzero(first)
+        many = np.diff(np.append(firsts, len(order)))
+        by_bucket = np.argsort(bucket[order[firsts]], kind="stable")
+        found, cuts = np.unique(bucket[order[firsts]][by_bucket], return_index=True)
+        for which, rows in zip(found.tolist(), np.split(by_bucket, cuts[1:]), strict=True):
+            pick = order[firsts[rows]]
+            text = b"\n".join(
+                b" ".join(wholes[p][x:y].split()) if z else wholes[p][x:y] for p, x, y, z in zip(
+                    part[pick].tolist(), a[pick].tolist(), b[pick].tolist(), odd[pick].tolist(), strict=True))
+            n = many[rows]
+            places = at[np.repeat(firsts[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            numbers = np.stack([doc[firsts[rows]], version[firsts[rows]], n]).astype("<i8")
+            yield pa.RecordBatch.from_arrays([
+                pa.array([which], pa.int64()), pa.array([self.press.compress(text)], pa.binary()),
+                pa.array([self.press.compress(numbers.tobytes())], pa.binary()),
+                pa.array([self.press.compress(places.tobytes())], pa.binary()),
+                pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, _INTS), pa.nulls(1, _INTS)],
+                names=self.NAMES)
 
 
 def _strings(docs: DataFrame, k: int, heavy: np.ndarray, buckets: int) -> DataFrame:
     """Packed strings by bucket, and ranges already known, from (doc_id, version, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)
 
-    def flush(strings: dict, where: dict, place: int) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
-        by_bucket: dict[int, list] = defaultdict(list)
-        for string, (bucket, doc, version, at) in strings.items():
-            by_bucket[bucket].append((string, doc, version, at))
-        for bucket, rows in by_bucket.items():
-            text = packer.compress(b"\n".join(r[0] for r in rows))
-            many = [len(r[3]) for r in rows]
-            numbers = np.array([[r[1], r[2], n] for r, n in zip(rows, many, strict=True)], "<i8")
-            at = np.array([x for r in rows for x in r[3]], "<i4")
-            yield pa.RecordBatch.from_arrays([
-                pa.array([bucket], pa.int64()), pa.array([text], pa.binary()),
-                pa.array([packer.compress(numbers.T.tobytes())], pa.binary()),
-                pa.array([packer.compress(at.tobytes())], pa.binary()),
-                pa.array([None], pa.int64()), pa.array([None], pa.int64()),
-                pa.array([None], _INTS), pa.array([None], _INTS)], names=names)
-        if where:  # these pass through any bucket
-            n = len(where)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([(place + i) % buckets for i in range(n)], pa.int64()),
-                 *(pa.array([None] * n, pa.binary()) for _ in range(3)), *_range_rows(where)], names=names)
-
-    names = ["bucket", "text", "numbers", "places", "doc_id", "version", "starts", "stops"]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = shared.value
-        strings: dict = {}
-        where: dict = defaultdict(list)
-        held = place = 0
+        packer = _Packer(k, shared.value, buckets)
         for batch in batches:
-            ids, versions = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, texts in blocks(batch.column(2).to_pylist()):
-                whole, starts, ends, begins = spread(texts)
-                if len(starts) < k:
-                    continue
-                word = segment_hashes(np.frombuffer(whole, np.uint8), starts, ends)
-                rank = word >> np.uint64(1)
-                if len(common):
-                    near = np.minimum(np.searchsorted(common, word), len(common) - 1)
-                    rank = rank | ((common[near] == word).astype(np.uint64) << np.uint64(63))
-                least = _least(rank, k)
-                doc = np.repeat(np.arange(len(texts)), np.diff(begins))
-                inside = doc[:len(least)] == doc[k - 1:]
-                new = np.ones(len(least), bool)
-                new[1:] = (least[1:] != least[:-1]) | (doc[1:len(least)] != doc[:len(least) - 1])
-                new |= ~inside
-                edges = np.flatnonzero(new)
-                stops = np.append(edges[1:], len(least))
-                real = inside[edges]
-                edges, stops = edges[real], stops[real]
-                which = doc[edges]
-                rows = zip(starts[edges].tolist(), ends[stops + k - 2].tolist(), (mixed(least[edges]) % np.uint64(
-                    buckets)).tolist(), which.tolist(), (edges - begins[which]).tolist(), (
-                        stops - edges + k - 1).tolist(), strict=True)
-                for a, b, bucket, d, at, size in rows:
-                    string = whole[a:b]
-                    if not string.isascii() or b"\n" in string or b"  " in string or b"\t" in string:
-                        string = b" ".join(string.split())
-                    me = (ids[first + d], versions[first + d])
-                    kept = strings.get(string)
-                    if kept is None:
-                        strings[string] = (bucket, *me, [at])
-                    elif me[0] > kept[1]:
-                        _cover(where, me, at, at + size)
-                    elif me == kept[1:3]:
-                        kept[3].append(at)
-                    elif me[0] == kept[1]:
-                        strings[string + b" "] = (bucket, *me, [at])  # same id, other text: both stay
-                    else:
-                        for old in kept[3]:
-                            _cover(where, kept[1:3], old, old + size)
-                        strings[string] = (bucket, *me, [at])
-                held += len(whole)
-                if held > _FLUSH:
-                    yield from flush(strings, where, place := place + 1)
-                    strings, where, held = {}, defaultdict(list), 0
-        yield from flush(strings, where, place)
+            ids, versions = (batch.column(i).to_numpy() for i in (0, 1))
+            for first, texts in blocks(batch.column(2).to_pylist(), _BLOCK):
+                packer.add(texts, ids[first:], versions[first:])
+                if packer.held > _FLUSH:
+                    yield from packer.flush()
+        yield from packer.flush()
 
     return docs.select("doc_id", "version", "text").mapInArrow(
         run, f"bucket long, text binary, numbers binary, places binary, {_RANGES}")
 
 
-def _windows(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(two hashes, string, place in the string) of all windows of the strings."""
-    parts = []
-    for first, run in blocks([t.decode("utf-8", "surrogateescape") for t in texts]):
-        whole, starts, ends, begins = spread(run)
-        word = segment_hashes(np.frombuffer(whole, np.uint8), starts, ends)
-        n = len(word) - k + 1
-        one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-        other = mixed(word ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-        for j in range(k):
-            one = one * np.uint64(0x9FB21C651E98DF25) + word[j:j + n]
-            two = two * np.uint64(0xD6E8FEB86659FD93) + other[j:j + n]
-        at = np.repeat(np.arange(len(run)), np.diff(begins))
-        inside = at[:n] == at[k - 1:]
-        parts.append((one[inside], two[inside], at[:n][inside] + first, (np.arange(n) - begins[at[:n]])[inside]))
-    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
-
-
-def _settle(text: list[bytes], doc: np.ndarray, version: np.ndarray, places: list[np.ndarray], k: int) -> dict:
+def _windows(packed: bytes, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(two hashes, string, place in the string) of all windows of the lines of ``packed``."""
+    whole = b"\n" + packed + b"\n"
+    data = np.frombuffer(whole, np.uint8)
+    starts, ends = words_of(data)
+    word = segment_hashes(data, starts, ends)
+    n = len(word) - k + 1
+    one, two = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
+    other = mixed(word ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+    for j in range(k):
+        one = one * np.uint64(0x9FB21C651E98DF25) + word[j:j + n]
+        two = two * np.uint64(0xD6E8FEB86659FD93) + other[j:j + n]
+    lines = np.flatnonzero(data == 0x0A)[:-1]
+    string = np.searchsorted(lines, starts) - 1
+    begins = np.searchsorted(starts, lines)
+    inside = string[:n] == string[k - 1:]
+    string = string[:n][inside]
+    return one[inside], two[inside], string, np.flatnonzero(inside) - begins[string]
+
+
+def _settle(rows: list[dict], k: int) -> list[pa.Array] | None:
     """Ranges of one bucket's strings that windows of smaller ids cover."""
-    where: dict = defaultdict(list)
-    one, two, string, place = _windows(text, k)
+    opened, parts, many = zstandard.ZstdDecompressor(), [], 0
+    numbers, places = [], []
+    for row in rows:
+        one, two, string, place = _windows(opened.decompress(row["text"]), k)
+        parts.append((one, two, string + many, place))
+        numbers.append(np.frombuffer(opened.decompress(row["numbers"]), "<i8").reshape(3, -1))
+        places.append(np.frombuffer(opened.decompress(row["places"]), "<i4"))
+        many += numbers[-1].shape[1]
+    one, two, string, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+    (doc, version, copies), places = np.concatenate(numbers, axis=1), np.concatenate(places)
     order = np.argsort(one, kind="stable")
     same = one[order][1:] == one[order][:-1]
     if (same & (two[order][1:] != two[order][:-1])).any():
@@ -204,15 +238,13 @@ def _settle(text: list[bytes], doc: np.ndarray, version: np.ndarray, places: lis
     covered[order] = np.repeat(smallest, np.diff(np.append(heads, len(order)))) < doc[string[order]]
     hit = np.flatnonzero(covered)
     if not len(hit):
-        return where
-    fresh = np.concatenate([[True], (np.diff(hit) > 1) | (np.diff(string[hit]) > 0)])
-    runs = hit[fresh]
-    last = hit[np.append(np.flatnonzero(fresh)[1:] - 1, len(hit) - 1)]
-    for a, b in zip(runs.tolist(), last.tolist(), strict=True):
-        s = string[a]
-        for at in places[s].tolist():
-            _cover(where, (int(doc[s]), int(version[s])), at + int(place[a]), at + int(place[b]) + k)
-    return where
+        return None
+    # Each covered window, at every place its string has in its document.
+    s = string[hit]
+    n = copies[s]
+    at = places[np.repeat((np.cumsum(copies) - copies)[s] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+    start = at + np.repeat(place[hit], n)
+    return _range_rows(np.repeat(doc[s], n), np.repeat(version[s], n), start, start + k)
 
 
 def covered_ranges(docs: DataFrame, k: int = 13) -> DataFrame:
@@ -221,20 +253,13 @@ def covered_ranges(docs: DataFrame, k: int = 13) -> DataFrame:
     buckets = max(16, size // BUCKET_BYTES)
 
     def settle(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        opened = zstandard.ZstdDecompressor()
-        text, doc, version, places = [], [], [], []
         known = table.filter(pc.is_valid(table["starts"])).select(["doc_id", "version", "starts", "stops"])
-        for row in table.filter(pc.is_valid(table["text"])).select(["text", "numbers", "places"]).to_pylist():
-            text += opened.decompress(row["text"]).split(b"\n")
-            numbers = np.frombuffer(opened.decompress(row["numbers"]), "<i8").reshape(3, -1)
-            doc.append(numbers[0])
-            version.append(numbers[1])
-            places += np.split(np.frombuffer(opened.decompress(row["places"]), "<i4"), np.cumsum(numbers[2])[:-1])
-        if not text:
+        rows = table.filter(pc.is_valid(table["text"])).select(["text", "numbers", "places"]).to_pylist()
+        found = _settle(rows, k) if rows else None
+        if found is None:
             return known
-        found = _settle(text, np.concatenate(doc), np.concatenate(version), places, k)
         return pa.concat_tables([known, pa.Table.from_arrays(
-            _range_rows(found), names=["doc_id", "version", "starts", "stops"]).cast(known.schema)])
+            found, names=["doc_id", "version", "starts", "stops"]).cast(known.schema)])
 
     packed = _strings(docs.filter("doc_id IS NOT NULL"), k, heavy, buckets)
     return packed.groupBy("bucket").applyInArrow(settle, _RANGES)
