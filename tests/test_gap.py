@@ -45,6 +45,17 @@ def test_fallback_uses_the_whole_market(spark, jobs):
     assert scores == {1: 14.29, 2: 0.0}
 
 
+def test_role_without_skills_and_phrases(spark, jobs):
+    jobs = jobs.unionByName(spark.createDataFrame([("HR", []), ("BI", ["power bi"])], jobs.schema))
+    asked = profiles(spark, (1, "excel", "HR"), (2, "Power  BI", "BI")).withColumn(
+        "owned_skills", gap.profile_skills("profile_text", E.phrase_hits("profile_text", ["power bi", "excel"])))
+    rows = gap.gap_rows(gap.match_role(asked, jobs), gap.ranked_role_skills(jobs, 15), "either")
+    got = {r.profile_id: (r.match_score, r.available_skills, r.missing_skills)
+           for r in gap.gap_scores(rows, "job_count").collect()}
+    assert got == {1: (0.0, 0, 0), 2: (33.33, 1, 2)}
+    assert {r.profile_id: r.learning_path for r in gap.learning_path(rows).collect()}[1] == ""
+
+
 def test_nothing_missing_leaves_no_gap(spark, jobs):
     matched = gap.match_role(profiles(spark, (1, "excel sql", "BI")), jobs, "exact")
     rows = gap.gap_rows(matched, gap.ranked_role_skills(jobs, 15), "substring")

@@ -62,10 +62,12 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey
      JOIN nation ON n_nationkey = s_nationkey
 """
 
-# Two parts per supplier make its skill profile; promo parts ask for a role no posting has.
+# Two parts per supplier make its skill profile, some with two blanks inside a phrase; promo
+# parts ask for a role no posting has.
 PROFILES_BODY = f"""
 SELECT s_suppkey AS profile_id,
-       concat(a.p_name, ' ', b.p_name, ' ', lower(a.p_type)) AS profile_text,
+       concat(CASE WHEN s_suppkey % 3 = 0 THEN replace(a.p_name, ' ', '  ') ELSE a.p_name END,
+              ' ', b.p_name, ' ', lower(a.p_type)) AS profile_text,
        CASE WHEN a.p_type = 'PROMO' THEN 'Promotions'
             WHEN {' OR '.join(f"contains(a.p_name, '{w}')" for w in ROLES['Fasteners'])} THEN 'Fasteners'
             WHEN {' OR '.join(f"contains(a.p_name, '{w}')" for w in ROLES['Machines'])} THEN 'Machines'

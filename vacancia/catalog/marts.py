@@ -62,7 +62,7 @@ SELECT profile_id, role_category AS market_role, skill, job_count, demand_percen
        CASE WHEN list_contains(owned_skills, skill) THEN 'Available' ELSE 'Missing' END AS status
 FROM owned JOIN ranked ON lower(role_category) = lower(target_role)""")
 def join_gap_status(spark, sf):
-    return gap_rows(spark, sf, 15, "ignore_case", "exact").select(
+    return gap_rows(spark, sf, 15, "ignore_case", "exact").filter("skill IS NOT NULL").select(
         "profile_id", "market_role", "skill", "job_count", "demand_percent", "status")
 
 
@@ -70,7 +70,9 @@ def gap_rows(spark, sf, n, role_mode, skill_mode, gold=None):
     from vacancia.functions import enrich as E
 
     gold = X.gold(spark, sf) if gold is None else gold
-    asked = X.profiles(spark, sf).withColumn("owned_skills", E.raw_tokens("profile_text"))
+    # The dashboard also owns skills named by a phrase with any blanks between its words.
+    hits = E.phrase_hits("profile_text", X.SKILLS) if skill_mode == "either" else None
+    asked = X.profiles(spark, sf).withColumn("owned_skills", gap.profile_skills("profile_text", hits))
     ranked = gap.ranked_role_skills(gold, n, whole_market=role_mode == "fallback")
     return gap.gap_rows(gap.match_role(asked, gold, role_mode), ranked, skill_mode)
 
@@ -296,10 +298,18 @@ def top_learning_path(spark, sf):
     return gap.learning_path(gap_rows(spark, sf, 15, "ignore_case", "exact"), 5)
 
 
+def _phrases() -> str:
+    """SQL: is ``skill`` a whole phrase of the profile, whatever blanks are inside it?"""
+    tests = ", ".join(
+        f"CASE WHEN regexp_matches(lower(profile_text), '(^|[^a-z0-9_])' || replace('{k}', ' ', '\\s+') || '($|[^a-z0-9_])')"
+        f" THEN '{k}' END" for k in X.SKILLS)
+    return f"coalesce(list_contains([{tests}], skill), false)"
+
+
 @query("top_gap_one", f"""WITH {X.GOLD}, {X.PROFILES}, {X.ranked_skills(20)}, statuses AS (
   SELECT profile_id, r.role_category AS market_role, skill, job_count,
          list_contains(list_filter(regexp_split_to_array(lower(profile_text), '(?:,|\\||{X.SPACE})+'), lambda t: t <> ''), skill)
-           OR contains(lower(profile_text), skill) AS have
+           OR contains(lower(profile_text), skill) OR {_phrases()} AS have
   FROM profiles JOIN ranked r ON r.role_category = CASE WHEN target_role IN (SELECT role_category FROM role_market)
        THEN target_role ELSE '*' END)
 SELECT profile_id, market_role, arg_min(skill, (-job_count, skill)) FILTER (NOT have) AS largest_gap
@@ -343,6 +353,6 @@ def gap_count(spark, sf):
     return gap.gap_scores(gap_rows(spark, sf, 15, "exact", "substring"), "unit")
 
 
-@query("gap_weighted_count", _gap_sql(20, "job_count", _FALLBACK, f"({_IN_LIST} OR {_IN_TEXT})"))
+@query("gap_weighted_count", _gap_sql(20, "job_count", _FALLBACK, f"({_IN_LIST} OR {_IN_TEXT} OR {_phrases()})"))
 def gap_weighted_count(spark, sf):
     return gap.gap_scores(gap_rows(spark, sf, 20, "fallback", "either"), "job_count")

@@ -181,7 +181,7 @@ def _block(heading, sql, key, n):
 
 _GAP = f"""{X.ranked_skills(20)}, statuses AS (
   SELECT profile_id, target_role, r.role_category AS market_role, skill, skill_rank, job_count,
-         {M._IN_LIST} OR {M._IN_TEXT} AS have
+         ({M._IN_LIST} OR {M._IN_TEXT} OR {M._phrases()}) AS have
   FROM profiles JOIN ranked r ON {M._FALLBACK}), gaps AS (
   SELECT profile_id, any_value(target_role) AS role, any_value(market_role) AS market_role,
          {X.s_round('coalesce(sum(job_count) FILTER (have), 0) / sum(job_count) * 100')} AS match_score,
