@@ -61,7 +61,7 @@ def test_silver_metrics_add_up(spark):
 
 def test_reports_on_empty_input(spark):
     cols = "title string, company string, location string, source string"
-    got = {r.metric: r.value for r in reports.dedup_summary(spark.createDataFrame([], cols)).collect()}
+    got = {r.metric: r.value for r in reports.dedup_summary(reports.rows_by_key(spark.createDataFrame([], cols))).collect()}
     assert set(got.values()) == {0}
 
 

@@ -119,7 +119,8 @@ PAGE = """<html><div class="container individual_internship visible" internshipi
 <a class="job-title-href" href="/job/42"> Data &amp; BI </a><p class="company-name"> Acme </p>
 <p class="row-1-item locations"><span><a>Pune</a></span></p>
 <div class="about_job"><div class="text">Build <b>things</b></div></div>
-<div class="job_skill">SQL</div><div class="job_skill"> Excel </div>
+<div class="individual_internship_header"><div class="job_skill wide"><span>Power</span> BI</div></div>
+<div class="individual_internship_details">x</div><div class="job_skill">SQL</div><div class="no_job_skills">no</div><div class="job_skill"> Excel </div>
 <div class="status-inactive"><i></i><span>2 days ago</span></div></div>
 <div class="individual_internship" internshipid="43"></div></html>"""
 
@@ -129,7 +130,7 @@ def test_page_cards(spark):
     rows = web_pages.card_fields(web_pages.page_cards(pages, "html")).orderBy("job_id").collect()
     first, empty = rows
     assert (first.job_id, first.job_title, first.company, first.location) == ("42", "Data & BI", "Acme", "Pune")
-    assert first.skills == "SQL,Excel" and first.description == "Build things"
+    assert first.skills == "Power BI,SQL,Excel" and first.description == "Build things"
     assert first.posted_date == "2 days ago" and first.job_url == "https://internshala.com/job/42"
     assert (empty.job_id, empty.job_title, empty.skills, empty.job_url) == ("43", None, "", "")
 

@@ -231,6 +231,28 @@ def src_html_fields(spark, sf):
     return web_pages.page_items(pages.drop("url"), "html", F.col("base")).drop("base")
 
 
+# A posting in the portal's markup: classes among others, nested blocks and tags.
+_MARKUP = """concat('<div class="box individual_internship visible" internshipid="', posting_ref, '">',
+  '<div class="individual_internship_header"><a class="big job-title-href" href="/job/', posting_ref, '"> ', trim(job_title), ' </a>',
+  '<p class="company-name">', coalesce(company, 'nobody'), '</p></div><div class="individual_internship_details">',
+  '<p class="row-1-item locations"><span>', coalesce(location, ''), '</span></p></div>',
+  '<div class="not_job_skill">none</div><div class="job_skill"><span>', source, '</span> ', coalesce(experience, '-'), '</div>',
+  '<div class="job_skill">two</div></div>')"""
+
+
+@query("src_html_cards", f"""WITH {X.POSTINGS}
+SELECT posting_ref AS job_id, trim(job_title) AS job_title, coalesce(company, 'nobody') AS company,
+       coalesce(location, '') AS location, concat(source, ' ', coalesce(experience, '-'), ',two') AS skills,
+       concat('https://internshala.com/job/', posting_ref) AS job_url
+FROM (SELECT * REPLACE (regexp_replace(job_title, ' +', ' ', 'g') AS job_title) FROM postings)""")
+def src_html_cards(spark, sf):
+    # One page for each portal and company, with all its cards.
+    pages = X.postings(spark, sf).groupBy("source", "company").agg(
+        F.concat(F.lit("<html><body>"), F.array_join(F.collect_list(F.expr(_MARKUP)), ""), F.lit("</body></html>")).alias("html"))
+    cards = web_pages.card_fields(web_pages.page_cards(pages.select("html"), "html"))
+    return cards.select("job_id", "job_title", "company", "location", "skills", "job_url")
+
+
 def cards(spark, sf):
     """Text cards: title, company, optional experience, salary and place, skills, date."""
     p = X.postings(spark, sf)

@@ -9,6 +9,7 @@ from vacancia.catalog import cleaning as C, fixtures as X
 from vacancia.catalog.registry import query
 from vacancia.functions import text as T
 from vacancia.operators import dedup, demand as M, gap, joins, reports, standardise as N
+from vacancia.session import materialize
 from vacancia.plans import gold as G
 
 TOTAL = "(SELECT count(*) FROM gold)"
@@ -27,7 +28,7 @@ SKILL_COUNTS = counts("skill", frame="(SELECT unnest(extracted_skills) AS skill
 @query("join_enrich_left", f"""WITH {C._KEYED}
 SELECT keyed.*, source_count, sources_available FROM keyed LEFT JOIN sets USING (dedup_key)""")
 def join_enrich_left(spark, sf):
-    return dedup.with_source_sets(C.keyed(spark, sf))
+    return dedup.with_source_sets(materialize(C.keyed(spark, sf), "keyed"))  # both sides of the join
 
 
 @query("join_report_left", f"""WITH {X.GOLD}
@@ -230,10 +231,10 @@ UNION ALL SELECT 'final_clean_unique_rows', count(DISTINCT dedup_key) FROM keyed
 UNION ALL SELECT 'duplicates_removed_cross_source', count(*) - count(DISTINCT dedup_key) FROM keyed
 UNION ALL SELECT concat('rows_loaded:', source), count(*) FROM master GROUP BY source""")
 def rep_dedup(spark, sf):
-    master = C.master(spark, sf)
-    per_source = reports.rows_per_source(master).select(
+    counts = materialize(reports.rows_by_key(C.master(spark, sf)), "by-key")  # serves both reports
+    per_source = reports.loaded_per_source(counts).select(
         F.concat(F.lit("rows_loaded:"), "source").alias("metric"), F.col("rows_loaded").alias("value"))
-    return reports.dedup_summary(master).unionByName(per_source)
+    return reports.dedup_summary(counts).unionByName(per_source)
 
 
 @query("rep_profile", f"""WITH {X.POSTINGS}, cut AS (
@@ -250,6 +251,15 @@ def rep_profile(spark, sf):
         "job_title", "company", "location", "source", "experience", "salary"))
 
 
+@query("rep_profile_sample", f"""WITH {X.POSTINGS}
+SELECT * FROM (SELECT job_title, company, location, source, experience, salary FROM postings)
+ORDER BY job_title NULLS FIRST, company NULLS FIRST, location NULLS FIRST, source NULLS FIRST,
+         experience NULLS FIRST, salary NULLS FIRST LIMIT 3""")
+def rep_profile_sample(spark, sf):
+    return reports.sample_rows(X.postings(spark, sf).select(
+        "job_title", "company", "location", "source", "experience", "salary"))
+
+
 @query("rep_class_dist", f"WITH {X.GOLD} SELECT role_category AS label, cast(count(*) AS bigint) AS n "
        "FROM gold WHERE role_category <> 'Other' GROUP BY role_category")
 def rep_class_dist(spark, sf):

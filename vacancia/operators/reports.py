@@ -70,15 +70,19 @@ def gold_quality_v3(df: DataFrame, low: float, high: float) -> DataFrame:
     )
 
 
-def dedup_summary(df: DataFrame) -> DataFrame:
-    """Loaded, kept by the filter, unique and removed rows of the master build.
+def rows_by_key(df: DataFrame) -> DataFrame:
+    """(source, k, n): rows of a master by source and dedup key, counted map-side.
 
-    One shuffle: the rows are counted per key map-side, keys with no text in title
-    or company share the NULL key, and the second aggregate is global.
+    Rows with no text in title or company share the NULL key.
     """
     kept = (X.clean_strict("title") != "") & (X.company_norm("company") != "")
     key = F.when(kept, X.dedup_key("title", "company", "location"))
-    per_key = df.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy("source", key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def dedup_summary(counts: DataFrame) -> DataFrame:
+    """Loaded, kept by the filter, unique and removed rows, from :func:`rows_by_key`."""
+    per_key = counts.groupBy("k").agg(F.sum("n").alias("n"))
     loaded = F.coalesce(F.sum("n"), F.lit(0))
     after = F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n"))), F.lit(0))
     return tall(
@@ -91,6 +95,11 @@ def dedup_summary(df: DataFrame) -> DataFrame:
     )
 
 
+def loaded_per_source(counts: DataFrame) -> DataFrame:
+    """Rows of each source, from :func:`rows_by_key`."""
+    return counts.groupBy("source").agg(F.sum("n").alias("rows_loaded"))
+
+
 def rows_per_source(df: DataFrame) -> DataFrame:
     return df.groupBy("source").agg(F.count(F.lit(1)).alias("rows_loaded"))
 
@@ -132,7 +141,8 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int = 3) -> DataFrame:
-    return df.limit(n)
+    """The first n rows in the order of all columns."""
+    return df.orderBy(*[F.col(c).asc_nulls_first() for c in df.columns]).limit(n)
 
 
 def melt(df: DataFrame, key: str, columns) -> DataFrame:

@@ -3,7 +3,7 @@
 Texts move once, by document: that spreads the costly tokenising evenly whatever the
 file layout, and weighting and normalising need no further shuffle. A document is one
 row, so its terms are counted inside the row: sorted, cut into runs, and only then
-exploded. The vocabulary joins as a broadcast because ``max_features`` bounds it.
+exploded. How the vocabulary joins is left to the planner, who knows a stored one's size.
 """
 
 from __future__ import annotations
@@ -13,9 +13,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from vacancia.functions import text as X
 from vacancia.operators.reshape import explode_items
 
-# Largest vocabulary joined by broadcast; beyond it the join shuffles on the term.
-BROADCAST_TERMS = 200_000
-
 
 def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words=(), bigrams=True) -> DataFrame:
     """(doc_id, term, tf) without any aggregation across rows."""
@@ -28,15 +25,10 @@ def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words=(), bigrams=
     return counted.select(doc_id, "_run.term", "_run.tf")
 
 
-def fit(
-    docs: DataFrame, doc_id: str, text: str, stop_words=(), bigrams=True,
-    max_features: int | None = 7000, min_df: int = 2,
-) -> DataFrame:
+def vocabulary_of(counts: DataFrame, n_docs, max_features: int | None = 7000, min_df: int = 2) -> DataFrame:
     """Vocabulary (term, df, idf) with smooth idf; the most frequent terms, ties by term."""
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
     vocabulary = (
-        term_counts(docs, doc_id, text, stop_words, bigrams)
-        .groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+        counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
         .filter(F.col("df") >= min_df)
     )
     if max_features:
@@ -44,25 +36,30 @@ def fit(
     return vocabulary.select("term", "df", (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
 
-def bounded(terms: DataFrame, max_features: int | None) -> DataFrame:
-    """A table with at most one row per vocabulary term, broadcast if that is a small bound."""
-    if max_features and max_features <= BROADCAST_TERMS:
-        return F.broadcast(terms)
-    return terms
+def fit(
+    docs: DataFrame, doc_id: str, text: str, stop_words=(), bigrams=True,
+    max_features: int | None = 7000, min_df: int = 2,
+) -> DataFrame:
+    """Vocabulary of ``docs``; fitting and weighting the same texts is cheaper by
+    :func:`term_counts`, stored once, :func:`vocabulary_of` and :func:`weights_of`."""
+    n_docs = docs.select(F.count(F.lit(1))).scalar()
+    return vocabulary_of(term_counts(docs, doc_id, text, stop_words, bigrams), n_docs, max_features, min_df)
 
 
-def transform(
-    docs: DataFrame, doc_id: str, text: str, vocabulary: DataFrame, stop_words=(),
-    bigrams=True, max_features: int | None = 7000,
-) -> DataFrame:
+def weights_of(counts: DataFrame, doc_id: str, vocabulary: DataFrame) -> DataFrame:
     """(doc_id, term, weight): unit-length TF-IDF rows over a fitted vocabulary."""
-    counts = term_counts(docs, doc_id, text, stop_words, bigrams)
-    idf = bounded(vocabulary.select("term", "idf"), max_features)
-    raw = counts.join(idf, "term").withColumn("weight", F.col("tf") * F.col("idf"))
+    raw = counts.join(vocabulary.select("term", "idf"), "term").withColumn("weight", F.col("tf") * F.col("idf"))
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy(doc_id)))
     return raw.select(doc_id, "term", (F.col("weight") / length).alias("weight"))
 
 
+def transform(
+    docs: DataFrame, doc_id: str, text: str, vocabulary: DataFrame, stop_words=(), bigrams=True,
+) -> DataFrame:
+    """Weights of other texts than those of the fit."""
+    return weights_of(term_counts(docs, doc_id, text, stop_words, bigrams), doc_id, vocabulary)
+
+
 def score_one(weights: DataFrame, query: DataFrame, doc_id: str) -> DataFrame:
     """Cosine of every document with ONE query vector (term, weight).
 

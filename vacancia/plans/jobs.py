@@ -39,8 +39,9 @@ def build_master(spark: SparkSession, raw: str, sources: list[str], out: str, mu
         N.union_all([csv_files.file_audit(headers, rows, bad) for rows, bad, headers in read]), f"{out}/file_audit")
     sinks.write_table(loaded, f"{out}/jobs_master_raw", ["source"])
     sinks.write_table(G.master(loaded), f"{out}/jobs_clean")
-    sinks.write_table(reports.rows_per_source(loaded), f"{out}/source_report")
-    sinks.write_table(reports.dedup_summary(loaded), f"{out}/dedup_report")
+    counts = materialize(reports.rows_by_key(loaded), "by-key")
+    sinks.write_table(reports.loaded_per_source(counts), f"{out}/source_report")
+    sinks.write_table(reports.dedup_summary(counts), f"{out}/dedup_report")
 
 
 def build_portal_master(spark: SparkSession, raw: str, source: str, out: str, multi_line: bool = True) -> None:

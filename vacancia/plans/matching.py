@@ -25,27 +25,27 @@ class Recommender:
         vocabulary: DataFrame | None = None,
     ):
         self.jobs = jobs.withColumn("recommendation_text", X.recommendation_text())
-        self.options = {"stop_words": stop_words, "max_features": max_features}
+        self.stop_words = stop_words
+        self.counts = tfidf.term_counts(self.jobs, "job_id", "recommendation_text", stop_words)
         if vocabulary is None:
-            vocabulary = materialize(tfidf.fit(
-                self.jobs, "job_id", "recommendation_text", min_df=min_df, **self.options
-            ), "vocabulary")
+            # Read by the fit and by the weights: texts are cut into terms once.
+            self.counts = materialize(self.counts, "term-counts")
+            n_docs = self.jobs.select(F.count(F.lit(1))).scalar()
+            vocabulary = materialize(tfidf.vocabulary_of(self.counts, n_docs, max_features, min_df), "vocabulary")
         self.vocabulary = vocabulary
 
     def weights(self) -> DataFrame:
-        return tfidf.transform(
-            self.jobs, "job_id", "recommendation_text", self.vocabulary, **self.options
-        )
+        return tfidf.weights_of(self.counts, "job_id", self.vocabulary)
 
     def query_weights(self, profiles: DataFrame, text: str) -> DataFrame:
-        return tfidf.transform(profiles, "profile_id", text, self.vocabulary, **self.options)
+        return tfidf.transform(profiles, "profile_id", text, self.vocabulary, self.stop_words)
 
     def scores(self, profiles: DataFrame, text: str, n: int, role: str | None = None,
                rows_per_block: int = 20_000) -> DataFrame:
         """(profile_id, job_id, score, rank); with ``role`` only postings of that role."""
         queries = materialize(self.query_weights(profiles, text), "queries")
-        # Only terms some profile uses can score; the vocabulary bounds this list.
-        used = tfidf.bounded(queries.select("term").distinct(), self.options["max_features"])
+        # Only terms some profile uses can score.
+        used = queries.select("term").distinct()
         docs = tfidf.vectors(self.weights().join(used, "term", "left_semi"), "job_id")
         asked = tfidf.vectors(queries, "profile_id")
         cell = None
@@ -57,6 +57,8 @@ class Recommender:
         ranked = nearest.top_documents(
             asked, docs, "profile_id", "job_id", n, cell, rows_per_block
         )
+        # n rows a profile, stored: what joins them knows their size.
+        ranked = materialize(ranked, "ranked")
         return ranked.withColumnsRenamed({"q_id": "profile_id", "d_id": "job_id"})
 
     def recommend(self, profiles: DataFrame, text: str, n: int = 10, role: str | None = None) -> DataFrame:
