@@ -63,7 +63,8 @@ def families(seed, n, edits):
 
 
 @pytest.mark.parametrize("seed,edits,w,percent", [(1, 0.02, 3, 90), (2, 0.05, 3, 90), (3, 0.05, 5, 80), (4, 0.1, 1, 90)])
-def test_equals_all_pairs(spark, seed, edits, w, percent):
+def test_equals_all_pairs(spark, monkeypatch, seed, edits, w, percent):
+    monkeypatch.setattr(partenum, "_BLOCK", 5 if seed % 2 else 1024)
     rows = families(seed, 250, edits)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = [tuple(r) for r in partenum.link(df, w, percent).collect()]

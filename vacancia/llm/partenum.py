@@ -9,10 +9,10 @@ of a group: all three choices are signed, so similar sets share a signature. A s
 nothing in some choice also signs each shingle of its prefix (the smallest hashes, as many
 as any similar set must hit), which is exact for pairs that agree in empty choices only.
 
-Signatures meet in buckets, where each is linked to its smallest holder; exact similarity
-of the candidate pairs is checked on whole sets. Holders of a signature that stay apart are
-paired in further rounds, with twice as many pivots each, until no pair is left that
-could join two components. Equal sets are one class before all this.
+Signatures meet in buckets, where the first holder of each is the pivot of the others;
+exact similarity to the pivots is checked on whole sets. Members of a pivot that are not all
+in one component then are compared with each other by their differences to the pivot, in
+blocks that return a forest of links. Equal sets are one class before all this.
 
 Texts are lower-cased (A-Z); fewer than w words are one shingle; empty and null texts have
 an empty set and are linked with nothing. Rows without an id are linked as equal sets only.
@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vacancia.llm.common import blocks, mixed, segment_hashes, ship, spread, stored
@@ -36,6 +36,7 @@ from vacancia.llm.components import components
 
 CHOICES = ((0, 1), (0, 2), (1, 2))  # two of a group's three partitions
 _FLUSH = 48 << 20
+_BLOCK = 1024  # members of a pivot in one task
 _U = np.uint64
 
 
@@ -180,7 +181,7 @@ def _meet(docs: DataFrame, w: int, percent: int, buckets: int) -> DataFrame:
         sigs, nodes, held = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for first, texts in blocks(_lowered(batch.column(1).to_pylist())):
+            for first, texts in blocks(_lowered(batch.column(1).to_pylist()), 1 << 20):
                 hashes, sizes = shingle_sets(texts, w)
                 names = digests(hashes, sizes)
                 base = (task << 12 | part) << 24
@@ -239,7 +240,7 @@ def _sets(docs: DataFrame, needed: DataFrame, w: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wanted = batch.column(1).to_pylist()
-            for first, texts in blocks(_lowered(batch.column(0).to_pylist())):
+            for first, texts in blocks(_lowered(batch.column(0).to_pylist()), 1 << 20):
                 hashes, sizes = shingle_sets(texts, w)
                 ends = np.cumsum(sizes)
                 # An id may have several texts; only the wanted class counts.
@@ -255,59 +256,105 @@ def _sets(docs: DataFrame, needed: DataFrame, w: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) of class pairs, by exact Jaccard similarity."""
+    """(p, x, linked, n, n_x, differ) of pivots and members, by exact Jaccard similarity.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                small, large = (x, y) if len(x) < len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both = int((large[at] == small).sum())
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
-
-    side = lambda c: sets.select(F.col("cls").alias(c), F.col("items").alias(f"i{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ia", "ib").mapInArrow(
-        run, "a string, b string, linked boolean")
-
-
-def _signed(sets: DataFrame, percent: int) -> DataFrame:
-    """(sig, cls) of stored sets."""
+    ``differ`` are the hashes that one of the two sets has, ``n`` and ``n_x`` the sizes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
         for batch in batches:
-            for i in range(0, batch.num_rows, 200):
-                part = batch.slice(i, 200)
-                items = [np.frombuffer(x, "<u8") for x in part.column(1).to_pylist()]
-                s, at = signatures(np.concatenate(items), np.array([len(x) for x in items]), bands)
+            for i in range(0, batch.num_rows, 500):
+                part = batch.slice(i, 500)
+                rows = []
+                for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                    x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                    differ = np.setxor1d(x, y, assume_unique=True)
+                    both = (len(x) + len(y) - len(differ)) // 2
+                    rows.append((100 * both >= percent * (both + len(differ)), len(x), len(y), differ.tobytes()))
+                linked, n, n_x, differ = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(s.view(np.int64)), part.column(0).take(pa.array(at))], names=["sig", "cls"])
-
-    return sets.select("cls", "items").mapInArrow(run, "sig long, cls string")
+                    [*part.columns[:2], pa.array(linked, pa.bool_()), pa.array(n, pa.int64()),
+                     pa.array(n_x, pa.int64()), pa.array(differ, pa.binary())],
+                    names=["p", "x", "linked", "n", "n_x", "differ"])
 
-
-def _rest(tested: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """(sig, cls, rank) of signatures whose holders may still be in two components."""
+    side = lambda c: sets.select(F.col("cls").alias(c), F.col("items").alias(f"i{c}"))
+    return pairs.join(side("p"), "p").join(side("x"), "x").select("p", "x", "ip", "ix").mapInArrow(
+        run, "p string, x string, linked boolean, n long, n_x long, differ binary")
+
+
+def _shared(rows: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each two of the rows share, in strips of hashes that two rows have."""
+    of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    _, at, count = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    twice = count[at] > 1
+    column = (np.cumsum(count > 1) - 1)[at[twice]]
+    of, width, total = of[twice], int((count > 1).sum()), np.zeros((len(rows), len(rows)), np.float32)
+    for a in range(0, width, 2048):
+        here = (column >= a) & (column < a + 2048)
+        strip = np.zeros((len(rows), min(2048, width - a)), np.float32)
+        strip[of[here], column[here] - a] = 1
+        total += strip @ strip.T
+    return total
+
+
+def _joined_up(table: pa.Table, percent: int) -> list[tuple[str, str]]:
+    """Links that connect members of one pivot, a spanning forest of them.
+
+    With the differences to the pivot at hand, two members differ in what only one of them
+    differs in.
+    """
+    items = [np.frombuffer(d, "<u8") for d in table["differ"].to_pylist()]
+    names, sizes = table["x"].to_pylist(), table["n_x"].to_numpy()
+    _, root = np.unique(np.array(table["root"].to_pylist()), return_inverse=True)
+    block = table["block"].to_numpy()
+    far = np.array([len(d) for d in items])
+    differ = far[:, None] + far[None, :] - 2 * _shared(items)
+    both = (sizes[:, None] + sizes[None, :] - differ) / 2
+    linked = (100 * both >= percent * (both + differ)) & (root[:, None] != root[None, :])
+    i, j = table["i"][0].as_py(), table["j"][0].as_py()
+    if i != j:  # pairs inside a block are met in its own task
+        linked &= block[:, None] != block[None, :]
+    edges, seen = [], np.zeros(len(names), bool)
+    for start in range(len(names)):
+        if seen[start]:
+            continue
+        seen[start], reached = True, [start]
+        while reached:
+            x = reached.pop()
+            fresh = np.flatnonzero(linked[x] & ~seen)
+            seen[fresh] = True
+            edges += [(names[x], names[y]) for y in fresh.tolist()]
+            reached += fresh.tolist()
+    return edges
+
+
+def _further(tested: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links among members of one pivot that the links to pivots leave apart.
+
+    Only pivots with a member of another component matter. Members are dealt to blocks of
+    about ``_BLOCK``, and each two blocks meet in a task, which returns a forest: neither
+    rows nor memory grow with the square of a group.
+    """
     root = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    apart = stored(
-        tested.filter("NOT linked").join(root("a"), "a", "left").join(root("b"), "b", "left")
-        .filter("coalesce(ra, a) <> coalesce(rb, b)").select("a", "b"), "apart")
-    # All that either one was tested with may hold the signature.
-    ends = apart.select("a").union(apart.select("b")).distinct()
-    around = tested.join(ends, "a").select("a", "b").union(
-        tested.join(ends.withColumnRenamed("a", "b"), "b").select("a", "b"))
-    nodes = stored(around.select(F.col("a").alias("cls")).union(around.select("b")).distinct(), "around")
-    if nodes.isEmpty():
-        return None
-    signed = stored(_signed(sets.join(nodes, "cls"), percent), "signed")
-    labelled = signed.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-        "root", F.coalesce("root", "cls"))
-    mixed_sigs = labelled.groupBy("sig").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y")
-    rank = F.row_number().over(Window.partitionBy("sig").orderBy("cls"))
-    return stored(signed.join(mixed_sigs.select("sig"), "sig").withColumn("rank", rank), "rest")
+    at = stored(tested.select("p", "x", "n_x", "n").join(root("p"), "p", "left").join(root("x"), "x", "left").select(
+        "p", "x", F.coalesce("rx", "x").alias("root"), F.coalesce("rp", "p").alias("p_root")), "rooted")
+    open_pivots = (
+        at.groupBy("p").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high"),
+                            F.first("p_root").alias("p_root"))
+        .filter("m > 1 AND (low <> p_root OR high <> p_root)")
+        .select("p", F.ceil(F.col("m") / _BLOCK).cast("int").alias("blocks")))
+    members = (
+        tested.select("p", "x", "n_x", "differ").join(at.select("p", "x", "root"), ["p", "x"]).join(open_pivots, "p")
+        .withColumn("block", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("p", "x", "n_x", "differ", "root", "block",
+                F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
+
+    def settle(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        edges = _joined_up(table, percent) if table.num_rows > 1 else []
+        return pa.table([pa.array([e[k] for e in edges], pa.string()) for k in (0, 1)], names=["a", "b"])
+
+    return members.groupBy("p", "i", "j").applyInArrow(settle, "a string, b string")
 
 
 def link(docs: DataFrame, w: int = 3, percent: int = 90, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -317,36 +364,17 @@ def link(docs: DataFrame, w: int = 3, percent: int = 90, doc_id: str = "doc_id",
     buckets = 2 * max(4, docs.rdd.getNumPartitions())
     met = stored(_meet(docs, w, percent, buckets), "met")
     rows = met.filter("b IS NULL").select(F.col("a").alias("node"), "cls", "doc_id", "n")
-    of = rows.filter("n > 0").select("node", "cls", "n").distinct()
-    side = lambda c: of.select(F.col("node").alias(c), F.col("cls").alias(f"c{c}"), F.col("n").alias(f"n{c}"))
+    of = rows.filter("n > 0").select("node", "cls").distinct()
+    side = lambda c, name: of.select(F.col("node").alias(c), F.col("cls").alias(name))
     pairs = stored(
-        met.filter("b IS NOT NULL").select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
-        .filter("ca <> cb")
-        .select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b"),
-                F.expr(f"100 * least(na, nb) >= {percent} * greatest(na, nb)").alias("fits")).distinct(), "pairs")
+        met.filter("b IS NOT NULL").select("a", "b").distinct().join(side("a", "p"), "a").join(side("b", "x"), "b")
+        .filter("p <> x").select("p", "x").distinct(), "pairs")
     classes = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    needed = pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct().join(classes, "cls")
-    sets = stored(_sets(docs, needed, w), "sets")
-    # Pairs of too different sizes are not linked, but their others may be to each other.
-    tested = stored(_verified(pairs.filter("fits").select("a", "b"), sets, percent).unionByName(
-        pairs.filter("NOT fits").select("a", "b", F.lit(False).alias("linked"))), "tested-0")
-    labels = components(tested.filter("linked").select("a", "b"))
-    rest, low, high = _rest(tested, labels, sets, percent), 0, 1
-    while rest is not None:
-        labelled = rest.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
-            "root", F.coalesce("root", "cls"))
-        pivots = labelled.filter((F.col("rank") > low) & (F.col("rank") <= high)).select(
-            "sig", F.col("cls").alias("a"), F.col("root").alias("ra"), F.col("rank").alias("first"))
-        more = stored(
-            labelled.join(pivots, "sig").filter("rank > first AND root <> ra")
-            .select("a", F.col("cls").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"), f"pairs-{high}")
-        tested = stored(tested.unionByName(_verified(more, sets, percent)), f"tested-{high}")
-        labels = components(tested.filter("linked").select("a", "b"))
-        low, high = high, 2 * high + 1
-        left = rest.filter(F.col("rank") > low).join(labels.withColumnRenamed("node", "cls"), "cls", "left")
-        if left.groupBy("sig").agg(F.min(F.coalesce("root", "cls")).alias("x"), F.max(F.coalesce("root", "cls")).alias("y")) \
-                .filter("x <> y").isEmpty():
-            rest = None
+    needed = pairs.select(F.col("p").alias("cls")).union(pairs.select("x")).distinct().join(classes, "cls")
+    tested = stored(_verified(pairs, _sets(docs, needed, w), percent), "tested")
+    links = tested.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b"))
+    further = stored(_further(tested, components(links), percent), "further")
+    labels = components(links.unionByName(further))
     grouped = rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "root", F.coalesce("root", "cls"))
     grouped = stored(grouped.select("doc_id", "n", "root"), "grouped")
