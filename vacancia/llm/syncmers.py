@@ -73,8 +73,9 @@ def _followed(docs: DataFrame, cells: int) -> tuple[DataFrame, Window]:
     guests = [(firsts[i - 1].cell, r.doc_id, r.version) for i, r in enumerate(firsts)]
     spark = docs.sparkSession
     wanted = spark.createDataFrame(guests, "host int, g_id long, g_version long")
+    # A row for each cell, and cells are bounded by the session's setting.
     found = docs.join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("version") == F.col("g_version"))).select(
+        F.broadcast(wanted), F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("version") == F.col("g_version"))).select(
         "doc_id", "text", "version", F.col("host").alias("cell"), F.lit(True).alias("guest"))
     return docs.withColumn("guest", F.lit(False)).select("doc_id", "text", "version", "cell", "guest").unionByName(
         found), order
