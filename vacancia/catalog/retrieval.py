@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from vacancia import dictionaries as D
 from vacancia.catalog import cleaning as C, fixtures as X, marts as M, matching
 from vacancia.catalog.registry import query
 from vacancia.functions import text as T, vectors as V
-from vacancia.operators import classify, context, gap, nearest, screening
-from vacancia.plans import gold as G, matching as plan
+from vacancia.operators import context, gap, nearest, screening
+from vacancia.plans import gold as G, matching as plan, questions
 
 # Scaled copies, so that normalising has something to do.
 _SCALED = "list_transform(embedding, lambda x: x::double * (label + 1))"
@@ -52,11 +51,27 @@ def vec_topk_approx(spark, sf):
                        T.rounded("score", 4).alias("score"), "rank")
 
 
-@query("vec_from_text")
+def s_hashed(name: str, counts: str, key: str) -> str:
+    """CTE ``name``: term counts hashed to the encoder's cells."""
+    return f"""{name} AS MATERIALIZED (
+  SELECT {key}, cast(cast(concat('0x', md5(term)[1:8]) AS bigint) % {questions.DIMENSIONS} AS varchar) AS term, sum(tf) AS tf
+  FROM {counts} GROUP BY ALL)"""
+
+
+# The encoder fitted on all documents, and the documents' vectors.
+_ENCODED = f"""{matching.s_counts('doc_counts', 'documents', 'doc_id', 'text')}, {s_hashed('doc_cells', 'doc_counts', 'doc_id')},
+vocab AS MATERIALIZED (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) + 1 AS idf FROM doc_cells GROUP BY term),
+{matching.s_weights('w', 'doc_cells', 'doc_id')}"""
+
+
+def encoder(spark, sf):
+    return questions.Encoder.fit(X.table(spark, sf, "documents"), "doc_id", "text", X.STOPS)
+
+
+@query("vec_from_text", f"WITH {_ENCODED} SELECT doc_id, term, {X.s_round('weight', 6)} AS weight FROM w")
 def vec_from_text(spark, sf):
-    docs = X.table(spark, sf, "documents").select("doc_id", "text")
-    vectors = classify.hashed_vectors(docs, "text").select("doc_id", vector_to_array("features").alias("v"))
-    return vectors.select("doc_id", F.size("v").alias("dimensions"), T.rounded(V.norm("v"), 6).alias("length"))
+    docs = X.table(spark, sf, "documents")
+    return encoder(spark, sf).weights(docs, "doc_id", "text").withColumn("weight", T.rounded("weight", 6))
 
 
 # --- screening ------------------------------------------------------------------------
@@ -124,14 +139,41 @@ _SIM_REASON = (f"CASE WHEN max_similarity >= {THRESHOLD} THEN concat({X.quoted(_
 _REASON = f"coalesce({_blank_reason('prompt')}, {_regex_reason('prompt')}, {_SIM_REASON})"
 
 
-# A conversation's prompts borrow the vector with its id; later ones have none.
-@query("scr_verdict", f"""WITH {_PROMPTS}, {_PATTERNS}, judged AS (
-  SELECT conv_id, turn, {_REASON} AS reason FROM prompts LEFT JOIN likeness ON vec_id = conv_id)
+# Prompts are encoded like the documents; words of their own language stand for the unsafe patterns.
+UNSAFE = ["nd the of in and to", "de la que en ciónes", "der die und ein zu"]
+LIKE = 0.2
+_UNSAFE = f"unsafe AS (SELECT * FROM (VALUES {', '.join(f'({i}, {X.quoted(t)})' for i, t in enumerate(UNSAFE))}) t(pattern_id, pattern))"
+
+
+def s_likeness(frame: str, key: str, text: str) -> str:
+    """CTEs up to ``likeness``: (key, max_similarity) of a frame's texts to the patterns."""
+    return f"""{matching.s_counts('a_counts', frame, key, text)}, {s_hashed('a_cells', 'a_counts', key)}, {matching.s_weights('asked', 'a_cells', key)},
+{_UNSAFE}, {matching.s_counts('u_counts', 'unsafe', 'pattern_id', 'pattern')}, {s_hashed('u_cells', 'u_counts', 'pattern_id')},
+{matching.s_weights('u', 'u_cells', 'pattern_id')}, likeness AS (
+  SELECT {key}, max(score) AS max_similarity FROM (
+    SELECT {key}, pattern_id, {X.s_round('sum(asked.weight * u.weight)', 6)} AS score FROM asked JOIN u USING (term) GROUP BY ALL) GROUP BY {key})"""
+
+
+def _reason(text: str) -> str:
+    similar = (f"CASE WHEN coalesce(max_similarity, 0) >= {LIKE} THEN concat({X.quoted(_SIM_BEFORE)}, "
+               f"printf('%.2f', max_similarity), {X.quoted(_SIM_AFTER)}) END")
+    return f"coalesce({_blank_reason(text)}, {_regex_reason(text)}, {similar})"
+
+
+_SIM_BEFORE, _SIM_AFTER = D.REASON_SIMILAR.split("{score}")
+_SCREEN = {"patterns": UNSAFE, "regex": REGEX, "threshold": LIKE}
+
+
+@query("scr_verdict", f"""WITH {_PROMPTS}, named AS (SELECT concat(conv_id, '/', turn) AS prompt_id, * FROM prompts), {_ENCODED},
+{s_likeness('named', 'prompt_id', 'prompt')}, judged AS (
+  SELECT conv_id, turn, {_reason('prompt')} AS reason FROM named LEFT JOIN likeness USING (prompt_id))
 SELECT conv_id, turn, reason IS NULL AS is_safe, coalesce(reason, '') AS reason FROM judged""")
 def scr_verdict(spark, sf):
-    scored = similarities(spark, sf).withColumnRenamed("vec_id", "conv_id")
-    judged = prompts(spark, sf).join(scored, "conv_id", "left")
-    out = screening.verdict(judged, "prompt", "max_similarity", REGEX, THRESHOLD)
+    named = prompts(spark, sf).withColumn("prompt_id", F.concat(
+        F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string")))
+    coder = encoder(spark, sf)
+    asked = coder.vectors(named, "prompt_id", "prompt")
+    out = questions.screened(coder, named, asked, "prompt_id", "prompt", **_SCREEN)
     return out.select("conv_id", "turn", "is_safe", "reason")
 
 
@@ -146,32 +188,51 @@ def ctx_meta(spark, sf):
     return context.metadata(gold.withColumn("document_text", G.document_v3()))
 
 
-# Documents with a vector of their id are the collection, benchmark items the questions.
-_CONTEXT = """questions AS (
-  SELECT item_id, text AS question, embedding FROM benchmark JOIN embeddings ON vec_id = item_id), scores AS (
-  SELECT q.item_id, d.vec_id AS doc_id, {score} AS score FROM questions q, embeddings d
-  WHERE d.vec_id IN (SELECT doc_id FROM documents)), best AS (
-  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores QUALIFY rank <= 5), blocks AS (
+# All documents are the collection, benchmark items the questions.
+_BLOCKS = """blocks AS (
   SELECT item_id, rank, concat(chr(10), 'Job ', cast(rank AS varchar), chr(10), 'Title: ', coalesce(lang, ''), chr(10), 'Company: ',
          coalesce(source, ''), chr(10), 'Location: ', chr(10), 'Skills: ', chr(10), 'Description:', chr(10), coalesce(text, ''), chr(10)) AS block
-  FROM best JOIN documents USING (doc_id)), contexts AS (
-  SELECT item_id, string_agg(block, '' ORDER BY rank) AS context FROM blocks GROUP BY item_id)
-SELECT item_id, question, context, concat(chr(10), 'JOB MARKET CONTEXT:', chr(10), context, chr(10), chr(10), 'USER QUESTION:', chr(10),
-       question, chr(10)) AS prompt FROM contexts JOIN questions USING (item_id)"""
+  FROM ranked_docs JOIN documents USING (doc_id)), contexts AS (
+  SELECT item_id, string_agg(block, '' ORDER BY rank) AS context FROM blocks GROUP BY item_id)"""
+_PROMPT = """concat(chr(10), 'JOB MARKET CONTEXT:', chr(10), context, chr(10), chr(10), 'USER QUESTION:', chr(10), question, chr(10))"""
+_ASKED = "items AS (SELECT item_id, text AS question FROM benchmark)"
+
+
+def _index(spark, sf, coder):
+    docs = X.table(spark, sf, "documents").select(
+        "doc_id", "text", F.col("lang").alias("title"), F.col("source").alias("company"), F.lit("").alias("location"),
+        F.lit("").alias("skills"), F.col("text").alias("document_text"))
+    return questions.index_rows(coder, docs, "doc_id", "text", "1").drop("text")
+
+
+def _items(spark, sf):
+    return X.table(spark, sf, "benchmark").select("item_id", F.col("text").alias("question"))
 
 
-@query("ctx_retrieval", "WITH " + _CONTEXT.format(
-    score=X.s_round("list_inner_product(q.embedding::double[], d.embedding::double[])", 6)))
+@query("ctx_retrieval", f"""WITH {_ENCODED}, {_ASKED}, {matching.s_counts('q_counts', 'items', 'item_id', 'question')},
+{s_hashed('q_cells', 'q_counts', 'item_id')}, {matching.s_weights('q', 'q_cells', 'item_id')},
+{matching.s_ranked('q', 'w', 'item_id', 'doc_id', 5)}, {_BLOCKS}
+SELECT item_id, question, context, {_PROMPT} AS prompt FROM contexts JOIN items USING (item_id)""")
 def ctx_retrieval(spark, sf):
-    e, docs = X.table(spark, sf, "embeddings"), X.table(spark, sf, "documents")
-    items = X.table(spark, sf, "benchmark").select("item_id", F.col("text").alias("question"))
-    asked = items.join(e, F.col("vec_id") == F.col("item_id"))
-    stored = e.join(docs.select("doc_id"), F.col("vec_id") == F.col("doc_id"), "left_semi")
-    best = nearest.top_vectors(asked, stored, "item_id", "vec_id", "embedding", 5)
-    ranked = best.select(F.col("q_id").alias("item_id"), F.col("d_id").alias("doc_id"), "rank")
-    shown = docs.select("doc_id", F.col("lang").alias("title"), F.col("source").alias("company"),
-                        F.lit("").alias("location"), F.lit("").alias("skills"), F.col("text").alias("document_text"))
-    return context.retrieval_context(ranked.join(shown, "doc_id").join(items, "item_id"), "item_id", "question")
+    coder = encoder(spark, sf)
+    asked, index = coder.vectors(_items(spark, sf), "item_id", "question"), _index(spark, sf, coder)
+    found = questions.retrieved(asked, index.select("doc_id", "terms", "weights"), "item_id", "doc_id", 5)
+    return context.retrieval_context(
+        found.join(index.drop("terms", "weights"), "doc_id").join(_items(spark, sf), "item_id"), "item_id", "question")
+
+
+@query("ctx_answer", f"""WITH {_ENCODED}, {_ASKED}, {s_likeness('items', 'item_id', 'question')}, judged AS (
+  SELECT item_id, question, {_reason('question')} AS reason FROM items LEFT JOIN likeness USING (item_id)), q AS (
+  SELECT asked.* FROM asked JOIN judged USING (item_id) WHERE reason IS NULL),
+{matching.s_ranked('q', 'w', 'item_id', 'doc_id', 5)}, {_BLOCKS}
+SELECT item_id, question, reason IS NULL AS is_safe, coalesce(reason, '') AS reason,
+       CASE WHEN reason IS NULL THEN coalesce(context, '') END AS context,
+       CASE WHEN reason IS NULL THEN {_PROMPT.replace(', context,', ", coalesce(context, ''),")} END AS prompt
+FROM judged LEFT JOIN contexts USING (item_id)""")
+def ctx_answer(spark, sf):
+    coder = encoder(spark, sf)
+    return questions.answer_prompts(
+        coder, _index(spark, sf, coder), _items(spark, sf), "item_id", "question", "doc_id", 5, **_SCREEN)
 
 
 def _block(heading, sql, key, n):

@@ -19,6 +19,11 @@ def metadata(df: DataFrame, title="job_title") -> DataFrame:
     )
 
 
+# The labels of the prompt.
+def question_prompt(found: Column, question: Column) -> Column:
+    return F.concat(F.lit("\nJOB MARKET CONTEXT:\n"), found, F.lit("\n\nUSER QUESTION:\n"), X.blank(question), F.lit("\n"))
+
+
 def retrieval_context(ranked: DataFrame, question_id: str, question: str) -> DataFrame:
     """Prompt text per question from its ranked documents.
 
@@ -34,11 +39,7 @@ def retrieval_context(ranked: DataFrame, question_id: str, question: str) -> Dat
     blocks = F.sort_array(F.collect_list(F.struct("rank", block.alias("block"))))
     return ranked.groupBy(question_id, question).agg(
         F.array_join(F.transform(blocks, lambda b: b["block"]), "").alias("context")
-    ).withColumn(
-        "prompt",
-        F.concat(F.lit("\nJOB MARKET CONTEXT:\n"), F.col("context"),
-                 F.lit("\n\nUSER QUESTION:\n"), X.blank(question), F.lit("\n")),
-    )
+    ).withColumn("prompt", question_prompt(F.col("context"), F.col(question)))
 
 
 def _numbered(mart: DataFrame, key: str, heading: str, n: int) -> Column:

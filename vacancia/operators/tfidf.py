@@ -25,6 +25,16 @@ def term_counts(docs: DataFrame, doc_id: str, text: str, stop_words=(), bigrams=
     return counted.select(doc_id, "_run.term", "_run.tf")
 
 
+def hashed_counts(docs: DataFrame, doc_id: str, text: str, dimensions: int, stop_words=(), bigrams=True) -> DataFrame:
+    """(doc_id, term, tf) with terms hashed to ``dimensions`` cells, named by number.
+
+    The cell is the first 32 bits of the term's MD5, so any engine can repeat it.
+    """
+    cell = F.pmod(F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("bigint"), F.lit(dimensions))
+    counts = term_counts(docs, doc_id, text, stop_words, bigrams)
+    return counts.groupBy(doc_id, cell.cast("string").alias("term")).agg(F.sum("tf").alias("tf"))
+
+
 def vocabulary_of(counts: DataFrame, n_docs, max_features: int | None = 7000, min_df: int = 2) -> DataFrame:
     """Vocabulary (term, df, idf) with smooth idf; the most frequent terms, ties by term."""
     vocabulary = (

@@ -71,11 +71,6 @@ OVERVIEW_COLUMNS = [
     "role_category", "experience_bucket", "skill_count",
     "salary_min", "salary_max", "salary_avg", "posted_date",
 ]
-JOB_COLUMNS = [
-    "job_id", "job_title", "company", "location", "experience", "salary",
-    "employment_type", "industry", "skills", "description", "posted_date",
-    "source", "scrape_time",
-]
 
 
 def strings(names) -> T.StructType:
