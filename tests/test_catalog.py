@@ -44,8 +44,8 @@ def test_approximate_search_finds_most_of_the_exact(spark):
 
 
 def test_classifier_metrics_in_range(spark):
-    row = entry.queries()["cls_nb"](spark, SF).first()
-    assert 0.5 < row.weighted_f1 <= 1.0 and 0.0 <= row.macro_f1 <= 1.0
+    rows = entry.queries()["cls_nb"](spark, SF).collect()
+    assert len(rows) > 1 and all(r.reaches_floor and r.test_rows for r in rows)
 
 
 def test_predictions_cover_every_profile(spark):
