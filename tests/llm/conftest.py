@@ -1,5 +1,10 @@
+import os
+import sys
+
 import pytest
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 #: Rows every operator must take: nulls, empties, repeats, ties, odd characters, long texts.
 ODD_TEXTS = [
     (1, "the quick brown fox jumps over the lazy dog again and again until night falls"),

@@ -109,3 +109,39 @@ def test_components(spark):
         root[max(a, b)] = min(a, b)
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a string, b string")).collect()}
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
+
+
+def test_histograms_bound_differences_and_new_pivots_reach_links():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    for percent in (80, 90):
+        base = [rng.integers(0, 1 << 63, 200, np.uint64) * np.uint64(2) for _ in range(4)]
+        sets = []
+        for _ in range(120):  # four families of near copies, the first near the pivot
+            b = base[rng.integers(4)].copy()
+            k = rng.integers(0, 30)
+            b[rng.choice(200, k, replace=False)] = rng.integers(0, 1 << 63, k, np.uint64)
+            sets.append(np.unique(b))
+        p = np.unique(base[0])
+        bound = lambda a, b: int(np.abs(np.subtract(*partenum._folded(
+            [partenum.histogram(a).tobytes(), partenum.histogram(b).tobytes()]))).sum())
+        far = [bound(p, x) > partenum._allowed(len(p) + len(x), percent) for x in sets]
+        table = pa.table({
+            "x": [str(i) for i in range(len(sets))], "root": [str(i) for i in range(len(sets))], "n": [len(x) for x in sets], "far": far,
+            "hist": [partenum.histogram(x).tobytes() for x in sets], "block": [0] * len(sets), "i": [0] * len(sets),
+            "j": [0] * len(sets)})
+        made = partenum._new_pairs(table, percent)
+        stars = {}
+        for a, b in made:
+            stars.setdefault(a, set()).add(b)
+        near = {str(i) for i in range(len(sets)) if not far[i]}
+        for i in range(len(sets)):
+            for j in range(i):
+                differ = len(np.setxor1d(sets[i], sets[j]))
+                assert bound(sets[i], sets[j]) <= differ
+                both = (len(sets[i]) + len(sets[j]) - differ) // 2
+                if 100 * both >= percent * (both + differ):
+                    x, y = str(i), str(j)
+                    assert (x in near and y in near) or y in stars.get(x, ()) or x in stars.get(y, ()) or any(
+                        x in s and y in s for s in stars.values())

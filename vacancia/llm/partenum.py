@@ -9,8 +9,10 @@ of a group: all three choices are signed, so similar sets share a signature. A s
 nothing in some choice also signs each shingle of its prefix (the smallest hashes, as many
 as any similar set must hit), which is exact for pairs that agree in empty choices only.
 
-Signatures meet in buckets, where the first holder of each is the pivot of the others;
-exact similarity to the pivots is checked on whole sets. Members of a pivot that are not all
+Signatures meet in buckets, where the first holder of each is the pivot of the others.
+Histograms of the sets' hashes give a lower bound of their difference: members beyond it are
+compared with each other by these, and may become pivots of their own. Exact similarity of
+what is left is checked on whole sets. Members of a pivot that are not all
 in one component then are compared with each other by their differences to the pivot, in
 blocks that return a forest of links. Equal sets are one class before all this.
 
@@ -235,51 +237,188 @@ def _meet(docs: DataFrame, w: int, percent: int, buckets: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, needed: DataFrame, w: int) -> DataFrame:
-    """(cls, items): the sorted hashes of one document of each needed class."""
+    """(cls, n, hist, text): one document of each needed class, with its set's histogram.
+
+    Texts travel rather than sets: they are half as large and compress.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted = batch.column(1).to_pylist()
-            for first, texts in blocks(_lowered(batch.column(0).to_pylist()), 1 << 20):
-                hashes, sizes = shingle_sets(texts, w)
+            wanted, texts = batch.column(1).to_pylist(), batch.column(0).to_pylist()
+            for first, run in blocks(_lowered(texts), 1 << 20):
+                hashes, sizes = shingle_sets(run, w)
                 ends = np.cumsum(sizes)
                 # An id may have several texts; only the wanted class counts.
-                rows = [(c, hashes[e - n:e].astype("<u8").tobytes())
-                        for c, name, e, n in zip(wanted[first:], digests(hashes, sizes), ends.tolist(),
-                                                 sizes.tolist(), strict=False) if c == name]
+                rows = [(c, n, histogram(hashes[e - n:e]).tobytes(), t) for c, name, e, n, t in zip(
+                    wanted[first:], digests(hashes, sizes), ends.tolist(), sizes.tolist(), texts[first:], strict=False)
+                    if c == name]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())],
-                    names=["cls", "items"])
+                    [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(
+                        (pa.string(), pa.int64(), pa.binary(), pa.string()))], names=["cls", "n", "hist", "text"])
 
-    found = docs.join(needed, "doc_id").select("text", "cls").mapInArrow(run, "cls string, items binary")
-    return found.dropDuplicates(["cls"])
+    # The join has the rows of an id together: repeated rows go before their sets are made.
+    rows = docs.join(needed, "doc_id").dropDuplicates(["doc_id", "cls", "text"])
+    return stored(rows.select("text", "cls").mapInArrow(run, "cls string, n long, hist binary, text string"), "sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(p, x, linked, n, n_x, differ) of pivots and members, by exact Jaccard similarity.
+def histogram(hashes: np.ndarray) -> np.ndarray:
+    """Counts of a set's hashes in equal ranges, a power of two of them, one byte each.
 
-    ``differ`` are the hashes that one of the two sets has, ``n`` and ``n_x`` the sizes.
+    Two sets differ in at least as many hashes as their counts differ by in all ranges.
     """
+    bits = min(12, max(4, (len(hashes) // 2).bit_length()))
+    return np.minimum(np.bincount((hashes >> _U(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8)
+
+
+def _folded(histograms: list[bytes]) -> np.ndarray:
+    """Histograms as rows, all with the ranges of the coarsest."""
+    width = min(map(len, histograms))
+    return np.stack([np.frombuffer(h, np.uint8).reshape(width, -1).sum(1, dtype=np.int32) for h in histograms])
+
+
+def _allowed(n, percent: int):
+    """How many hashes two linked sets of together ``n`` may differ in."""
+    return n * (100 - percent) // (100 + percent)
+
+
+def _sorted_out(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(p, x, n, hist, far): members with their histograms; far ones cannot be linked to p."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 500):
-                part = batch.slice(i, 500)
-                rows = []
-                for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                    x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+            far = [int(np.abs(np.subtract(*_folded([a, b]))).sum()) > _allowed(n + m, percent)
+                   for n, a, m, b in zip(*(batch.column(c).to_pylist() for c in ("np", "hp", "n", "hist")), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("p"), batch.column("x"), batch.column("n"), batch.column("hist"), pa.array(far, pa.bool_())],
+                names=["p", "x", "n", "hist", "far"])
+
+    small = sets.select("cls", "n", "hist")
+    return pairs.join(small.select(F.col("cls").alias("x"), "n", "hist"), "x").join(
+        small.select(F.col("cls").alias("p"), F.col("n").alias("np"), F.col("hist").alias("hp")), "p").select(
+        "p", "x", "np", "hp", "n", "hist").mapInArrow(run, "p string, x string, n long, hist binary, far boolean")
+
+
+def _new_pairs(table: pa.Table, percent: int) -> list[tuple[str, str]]:
+    """Pairs to check among members of one pivot of which at least one is far from it.
+
+    Members of one component are not compared. A few pairs go as they are. Of many, far members become pivots until every far member
+    is near one; a new pivot's members are all within twice that distance, so that two
+    linked ones share it (differences of histograms obey the triangle inequality).
+    """
+    names, sizes, far = table["x"].to_pylist(), table["n"].to_numpy(), table["far"].to_numpy()
+    _, root = np.unique(np.array(table["root"].to_pylist()), return_inverse=True)
+    block, every = table["block"].to_numpy(), np.arange(len(names))
+    cross = table["i"][0].as_py() != table["j"][0].as_py()
+    histograms = [np.frombuffer(h, np.uint8) for h in table["hist"].to_pylist()]
+    widths, folded = np.array([len(h) for h in histograms]), {}
+
+    def alike(i: int, percent: int) -> np.ndarray:
+        return 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
+
+    def distance(i: int, to: np.ndarray) -> np.ndarray:
+        """Differences of the histograms, in the ranges of the coarsest of them."""
+        width = int(min(widths[i], widths[to].min()))
+        if width not in folded:
+            folded[width] = np.zeros((len(names), width), np.int32)
+            for k in np.flatnonzero(widths >= width).tolist():
+                folded[width][k] = histograms[k].reshape(width, -1).sum(1, dtype=np.int32)
+        return np.abs(folded[width][to] - folded[width][i]).sum(1)
+
+    rows, direct, most = np.flatnonzero(far).tolist(), [], 8 * len(names)
+    for i in rows:
+        to = alike(i, percent) & (root != root[i]) & (~far | (every > i))
+        to = np.flatnonzero(to & (block != block[i]) if cross else to)
+        if len(to):
+            near = to[distance(i, to) <= _allowed(sizes[to] + sizes[i], percent)]
+            direct += [(names[i], names[j]) for j in near.tolist()]
+            if len(direct) > most:
+                break
+    else:
+        return direct
+    covered, stars = np.zeros(len(names), bool), []
+    for i in rows:
+        if covered[i]:
+            continue
+        # A member's link may be as much larger or smaller again, and as far away again.
+        large = int(sizes[i]) * 100 // percent + 1
+        reach = _allowed(int(sizes[i]) + large, percent)
+        twice = reach + _allowed(large + large * 100 // percent + 1, percent)
+        to = np.flatnonzero(alike(i, percent * percent // 100))
+        d = distance(i, to)
+        covered[to[(d <= reach) & alike(i, percent)[to]]] = True
+        stars += [(names[i], names[j]) for j in to[d <= twice].tolist() if j != i]
+    return stars
+
+
+def _dealt(members: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Members of pivots in blocks of about ``_BLOCK``, once for each two blocks to meet."""
+    return (
+        members.join(blocks, "p")
+        .withColumn("block", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).drop("other", "blocks"))
+
+
+def _rooted(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``members`` with the component of the pivot and of the member, themselves if alone."""
+    root = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
+    return members.join(root("p"), "p", "left").join(root("x"), "x", "left").withColumns(
+        {"p_root": F.coalesce("rp", "p"), "root": F.coalesce("rx", "x")}).drop("rp", "rx")
+
+
+def _open_pivots(rooted: DataFrame, with_pivot: bool = True) -> DataFrame:
+    """(p, blocks): pivots with several members, not all in one component (with the pivot's)."""
+    apart = "low <> high" + " OR low <> p_root" * with_pivot
+    return rooted.groupBy("p").agg(
+        F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high"),
+        F.first("p_root").alias("p_root")).filter(f"m > 1 AND ({apart})").select(
+        "p", F.ceil(F.col("m") / _BLOCK).cast("int").alias("blocks"))
+
+
+def _far_pairs(sorted_out: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(p, x): pairs to check because of members that are far from a pivot they share."""
+    rooted = stored(_rooted(sorted_out, labels), "sorted-rooted")
+    some_far = rooted.groupBy("p").agg(F.max("far").alias("far")).filter("far").select("p")
+    open_pivots = _open_pivots(rooted, with_pivot=False).join(some_far, "p")
+
+    def pair(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        made = _new_pairs(table.sort_by("x"), percent)
+        return pa.table([pa.array([e[k] for e in made], pa.string()) for k in (0, 1)], names=["p", "x"])
+
+    return _dealt(rooted, open_pivots).groupBy("p", "i", "j").applyInArrow(pair, "p string, x string").distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, w: int, percent: int) -> DataFrame:
+    """(p, x, linked, n_x, differ) of pivots and members, by exact Jaccard similarity.
+
+    ``differ`` are the hashes that one of the two sets has, ``n_x`` the size of the member's.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = [t for pair in zip(*(_lowered(batch.column(c).to_pylist()) for c in (2, 3)), strict=True) for t in pair]
+            at = 0
+            while at < len(both):
+                size, stop = 0, at
+                while stop < len(both) and (stop == at or size < 1 << 21):
+                    size, stop = size + len(both[stop]) + len(both[stop + 1]), stop + 2
+                hashes, sizes = shingle_sets([t.encode() for t in both[at:stop]], w)
+                ends, rows = np.cumsum(sizes), []
+                for i in range(0, len(sizes), 2):
+                    x, y = (hashes[ends[k] - sizes[k]:ends[k]] for k in (i, i + 1))
                     differ = np.setxor1d(x, y, assume_unique=True)
-                    both = (len(x) + len(y) - len(differ)) // 2
-                    rows.append((100 * both >= percent * (both + len(differ)), len(x), len(y), differ.tobytes()))
-                linked, n, n_x, differ = zip(*rows, strict=True)
+                    common = (len(x) + len(y) - len(differ)) // 2
+                    linked = 100 * common >= percent * (common + len(differ))
+                    rows.append((linked, len(y), differ.astype("<u8").tobytes()))
+                part = batch.slice(at // 2, (stop - at) // 2)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:2], pa.array(linked, pa.bool_()), pa.array(n, pa.int64()),
-                     pa.array(n_x, pa.int64()), pa.array(differ, pa.binary())],
-                    names=["p", "x", "linked", "n", "n_x", "differ"])
+                    [*part.columns[:2], *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate(
+                        (pa.bool_(), pa.int64(), pa.binary())))], names=["p", "x", "linked", "n_x", "differ"])
+                at = stop
 
-    side = lambda c: sets.select(F.col("cls").alias(c), F.col("items").alias(f"i{c}"))
-    return pairs.join(side("p"), "p").join(side("x"), "x").select("p", "x", "ip", "ix").mapInArrow(
-        run, "p string, x string, linked boolean, n long, n_x long, differ binary")
+    side = lambda c: sets.select(F.col("cls").alias(c), F.col("text").alias(f"t{c}"))
+    return pairs.join(side("p"), "p").join(side("x"), "x").select("p", "x", "tp", "tx").mapInArrow(
+        run, "p string, x string, linked boolean, n_x long, differ binary")
 
 
 def _shared(rows: list[np.ndarray]) -> np.ndarray:
@@ -335,20 +474,8 @@ def _further(tested: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     about ``_BLOCK``, and each two blocks meet in a task, which returns a forest: neither
     rows nor memory grow with the square of a group.
     """
-    root = lambda c: labels.select(F.col("node").alias(c), F.col("root").alias(f"r{c}"))
-    at = stored(tested.select("p", "x", "n_x", "n").join(root("p"), "p", "left").join(root("x"), "x", "left").select(
-        "p", "x", F.coalesce("rx", "x").alias("root"), F.coalesce("rp", "p").alias("p_root")), "rooted")
-    open_pivots = (
-        at.groupBy("p").agg(F.count("*").alias("m"), F.min("root").alias("low"), F.max("root").alias("high"),
-                            F.first("p_root").alias("p_root"))
-        .filter("m > 1 AND (low <> p_root OR high <> p_root)")
-        .select("p", F.ceil(F.col("m") / _BLOCK).cast("int").alias("blocks")))
-    members = (
-        tested.select("p", "x", "n_x", "differ").join(at.select("p", "x", "root"), ["p", "x"]).join(open_pivots, "p")
-        .withColumn("block", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("p", "x", "n_x", "differ", "root", "block",
-                F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")))
+    rooted = _rooted(tested.select("p", "x", "n_x", "differ"), labels)
+    members = _dealt(rooted, _open_pivots(rooted))
 
     def settle(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         edges = _joined_up(table, percent) if table.num_rows > 1 else []
@@ -371,10 +498,20 @@ def link(docs: DataFrame, w: int = 3, percent: int = 90, doc_id: str = "doc_id",
         .filter("p <> x").select("p", "x").distinct(), "pairs")
     classes = rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     needed = pairs.select(F.col("p").alias("cls")).union(pairs.select("x")).distinct().join(classes, "cls")
-    tested = stored(_verified(pairs, _sets(docs, needed, w), percent), "tested")
-    links = tested.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b"))
-    further = stored(_further(tested, components(links), percent), "further")
-    labels = components(links.unionByName(further))
+    sets = _sets(docs, needed, w)
+    sorted_out = stored(_sorted_out(pairs, sets, percent), "sorted-out")
+    near = sorted_out.filter("NOT far").select("p", "x")
+    links = lambda rows: rows.filter("linked").select(F.col("p").alias("a"), F.col("x").alias("b"))
+    # One pivot of each member first: most of the other pairs then lie in one component.
+    tested = stored(_verified(near.groupBy("x").agg(F.min("p").alias("p")).select("p", "x"), sets, w, percent), "tested-1")
+    labels = components(links(tested))
+    open_near = near.join(_open_pivots(_rooted(near, labels)).select("p"), "p")
+    single = _rooted(near, labels).filter("root <> p_root").select("p", "x")  # also a pivot's only member
+    more = open_near.unionByName(single).unionByName(_far_pairs(sorted_out, labels, percent)).distinct()
+    tested = tested.unionByName(stored(_verified(
+        more.join(tested.select("p", "x"), ["p", "x"], "left_anti"), sets, w, percent), "tested-2"))
+    further = stored(_further(tested, components(links(tested)), percent), "further")
+    labels = components(links(tested).unionByName(further))
     grouped = rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn(
         "root", F.coalesce("root", "cls"))
     grouped = stored(grouped.select("doc_id", "n", "root"), "grouped")
