@@ -39,6 +39,7 @@ from vacancia.llm.components import components
 CHOICES = ((0, 1), (0, 2), (1, 2))  # two of a group's three partitions
 _FLUSH = 48 << 20
 _BLOCK = 1024  # members of a pivot in one task
+_BUCKET_CHARS = 4_000_000
 _U = np.uint64
 
 
@@ -219,10 +220,17 @@ def _meet(docs: DataFrame, w: int, percent: int, buckets: int) -> DataFrame:
                     pa.array(row["cls"], pa.string()), pa.array(row["doc_id"], pa.int64()),
                     pa.array(row["n"], pa.int64())], names=names))
         sig, node = np.concatenate(sigs), np.concatenate(nodes)
-        order = np.lexsort((node, sig))
+        del sigs, nodes
+        order = np.argsort(sig)
         sig, node = sig[order], node[order]
+        del order
+        shared = np.zeros(len(sig), bool)
+        shared[1:] = sig[1:] == sig[:-1]
+        shared[:-1] |= shared[1:]
+        sig, node = sig[shared], node[shared]  # most signatures have one holder
         head = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.empty(0, np.int64)
-        pivot = np.repeat(node[head], np.diff(np.append(head, len(sig))))
+        first = np.minimum.reduceat(node, head) if len(sig) else node
+        pivot = np.repeat(first, np.diff(np.append(head, len(sig))))
         pairs = np.unique(np.stack([pivot, node], 1)[pivot != node], axis=0)
         parts.append(pa.table([
             pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.nulls(len(pairs), pa.string()),
@@ -488,7 +496,9 @@ def link(docs: DataFrame, w: int = 3, percent: int = 90, doc_id: str = "doc_id",
     """(doc_id, n_shingles, component_id) for each document; links hold at ``percent`` and more."""
     ship(docs.sparkSession)
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    buckets = 2 * max(4, docs.rdd.getNumPartitions())
+    # Buckets grow with the texts and with the signatures of a shingle, a task's part does not.
+    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = 8 + int(size * 8 * (100 - percent) / 100 / _BUCKET_CHARS)
     met = stored(_meet(docs, w, percent, buckets), "met")
     rows = met.filter("b IS NULL").select(F.col("a").alias("node"), "cls", "doc_id", "n")
     of = rows.filter("n > 0").select("node", "cls").distinct()
