@@ -78,6 +78,23 @@ def test_odd_rows(spark, odd):
     assert partenum.link(odd.limit(0)).collect() == []
 
 
+def test_original_without_an_id_does_not_part_its_copies(spark):
+    rng = random.Random(6)
+    rows = []
+    for family in range(6):
+        words = [f"f{family}w{i}" for i in range(200)]
+        rows.append((None, " ".join(words)))
+        for copy in range(5):
+            edited = list(words)
+            edited[rng.randrange(200)] = f"e{copy}"
+            rows.append((family * 10 + copy, " ".join(edited)))
+        rows.append((None, rows[-1][1]))
+    rows.sort(key=lambda r: r[0] is not None)  # originals first: the smallest nodes
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = [tuple(r) for r in partenum.link(df, 3, 90).collect()]
+    assert order(got) == order(brute(rows, 3, 90))
+
+
 def test_similar_sets_share_a_signature():
     rng = np.random.default_rng(5)
     for percent in (80, 90, 95):

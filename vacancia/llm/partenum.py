@@ -17,7 +17,8 @@ in one component then are compared with each other by their differences to the p
 blocks that return a forest of links. Equal sets are one class before all this.
 
 Texts are lower-cased (A-Z); fewer than w words are one shingle; empty and null texts have
-an empty set and are linked with nothing. Rows without an id are linked as equal sets only.
+an empty set and are linked with nothing. Rows without an id sign nothing: they are linked as
+equal sets only, by the name of their set.
 Repeated rows and ids and further columns do not matter. Hashes of shingles have 64
 bits, of classes 128.
 """
@@ -181,6 +182,7 @@ def _meet(docs: DataFrame, w: int, percent: int, buckets: int) -> DataFrame:
         bands = Bands(percent)
         task, part = TaskContext.get().partitionId(), 0
         seen: dict[str, int] = {}
+        signed: set[str] = set()
         sigs, nodes, held = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
         for batch in batches:
             ids = batch.column(0).to_pylist()
@@ -190,8 +192,11 @@ def _meet(docs: DataFrame, w: int, percent: int, buckets: int) -> DataFrame:
                 base = (task << 12 | part) << 24
                 fresh = np.zeros(len(names), bool)
                 for i, c in enumerate(names):
-                    if c not in seen:
-                        seen[c], fresh[i] = len(seen), c != ""
+                    seen.setdefault(c, len(seen))
+                    # Rows without an id do not sign: no pivot may lack an id.
+                    if c and ids[first + i] is not None and c not in signed:
+                        signed.add(c)
+                        fresh[i] = True
                 node = np.array([base + seen[c] for c in names], np.int64)
                 yield record((task + first) % buckets, None, None, None,
                              [node.tolist(), names, ids[first:first + len(texts)], sizes.tolist()])
@@ -202,7 +207,7 @@ def _meet(docs: DataFrame, w: int, percent: int, buckets: int) -> DataFrame:
                 held += sum(map(len, texts))
                 if held > _FLUSH or len(seen) > 1 << 22:
                     yield from flush(task << 12 | part, sigs, nodes)
-                    part, held, seen = part + 1, 0, {}
+                    part, held, seen, signed = part + 1, 0, {}, set()
                     sigs, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
         yield from flush(task << 12 | part, sigs, nodes)
 
