@@ -75,5 +75,15 @@ def test_pack(spark, odd, parts, carry):
         assert len(sequences) <= 1.05 * sum(w[3] for w in want) / capacity + 1
 
 
+def test_pack_mixes_long_and_short_pieces_of_different_partitions(spark):
+    rng = np.random.default_rng(2)
+    sizes = [*rng.integers(1100, 1900, 400).tolist(), *rng.integers(100, 200, 1000).tolist()]
+    rows = [(i, 0, 0, n, i) for i, n in enumerate(sizes)]
+    items = spark.createDataFrame(spark.sparkContext.parallelize(rows, 7), packing._ITEM)
+    packed = packing.pack(items, 2048, carry=50).collect()
+    assert sorted((r.doc_id, r.length) for r in packed) == list(enumerate(sizes))
+    assert len({r.sequence_id for r in packed}) <= 1.05 * 400
+
+
 def test_pack_nothing(spark, odd):
     assert packing.pack(packing.pieces(odd.limit(0), JSON, P.PATTERN, 64), 64).collect() == []

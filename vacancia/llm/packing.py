@@ -1,10 +1,11 @@
-"""Best-fit packing: local best fit, then underfull bins merged up a tree.
+"""Best-fit packing: best fit in tasks of mixed pieces, underfull bins merged in rounds.
 
-Every partition packs its pieces by best fit, largest first. Bins that are full but for
-``slack`` tokens are emitted; the others go on as items to the next round, where the bins
-of ``fan_in`` partitions meet, until one partition is left. A task hands on at most
-``carry`` bins, the emptiest, and emits the rest as they are, so no task grows with the
-input. Each round is written to the shared folder.
+Pieces are dealt out at random, so that every task has all sizes, and packed by best fit,
+largest first. Bins that are full but for ``slack`` tokens are emitted; the others are dealt
+out anew as items of the next round, to a ``fan_in``-th of the tasks, but to no fewer than
+leave a task ``carry`` of them. So no task grows with the input, and the last one packs alone
+only once the rest fits it. While more than that is open, rounds go on until no two bins
+have merged. Each round is written to the shared folder.
 
 A document is its ids and the closing id; null and empty texts have the closing id alone.
 Only longer documents are cut, so that all pieces but the first are full. Repeated rows and
@@ -82,7 +83,7 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _round(bins: DataFrame, capacity: int, slack: int, carry: int) -> DataFrame:
+def _round(bins: DataFrame, capacity: int, slack: int) -> DataFrame:
     """Bins of each partition packed as items; ``done`` marks those to be emitted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +98,7 @@ def _round(bins: DataFrame, capacity: int, slack: int, carry: int) -> DataFrame:
         for at in range(0, len(made), 10_000):
             part = made[at:at + 10_000]
             yield pa.RecordBatch.from_arrays([
-                pa.array([at + i >= carry or size >= capacity - slack for i, (size, _) in enumerate(part)]),
+                pa.array([size >= capacity - slack for size, _ in part]),
                 pa.array([(place << 32) + at + i for i in range(len(part))], pa.int64()),
                 pa.array([m for _, m in part], pa.list_(_KIND)),
                 pa.array([[0, *itertools.accumulate(x["length"] for x in m[:-1])] for _, m in part],
@@ -113,21 +114,23 @@ def pack(items: DataFrame, capacity: int, slack: int = 4, fan_in: int = 8, carry
     full = items.filter(F.col("length") == capacity).select(
         *items.columns, F.monotonically_increasing_id().alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     members = F.array(F.struct(*items.columns)).alias("members")
-    bins = items.filter(F.col("length") < capacity).select(members)
-    places, level, emitted = max(1, items.rdd.getNumPartitions()), 1, [full]
+    bins = items.filter(F.col("length") < capacity).select(members, F.monotonically_increasing_id().alias("bin"))
+    count, level, emitted = bins.count(), 1, [full]
+    places = max(1, items.rdd.getNumPartitions(), -(-count // carry))
     while True:
-        last = places == 1
-        made = stored(_round(bins, capacity, capacity if last else slack, 0 if last else carry), f"bins-{level}")
+        dealt = bins.repartition(places, F.xxhash64("bin", F.lit(level)))
+        made = stored(_round(dealt, capacity, slack), f"bins-{level}")
+        total, still_open = made.agg(F.count("*"), F.count(F.when(~F.col("done"), 1))).first()
+        fewer = min(places, max(1, -(-places // fan_in), -(-still_open // carry)))
+        last = places == 1 or not still_open or (fewer == places and total == count)
         emitted.append(
-            made.filter("done")
+            (made if last else made.filter("done"))
             .select((F.lit(level << 56) + F.col("bin")).alias("sequence_id"),
                     F.explode(F.arrays_zip("members", "offsets")).alias("x"))
             .select("x.members.*", "sequence_id", F.col("x.offsets").alias("offset")))
         if last:
             break
-        places, level = -(-places // fan_in), level + 1
-        # Neighbouring tasks meet; the bin's number holds the task it comes from.
-        bins = made.filter("NOT done").repartition(places, F.shiftright("bin", 32))
+        bins, count, places, level = made.filter("NOT done"), still_open, fewer, level + 1
     out = emitted[0]
     for df in emitted[1:]:
         out = out.unionByName(df)
