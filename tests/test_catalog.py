@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tools import check
+from vacancia.catalog import models
 
 SF = "/root/testdata/sf0.001"
 
@@ -51,3 +52,18 @@ def test_classifier_metrics_in_range(spark):
 def test_predictions_cover_every_profile(spark):
     predicted = entry.queries()["cls_predict"](spark, SF)
     assert predicted.filter("predicted_role IS NULL").count() == 0
+
+
+def test_registered_families_run_the_library_defaults(monkeypatch):
+    given = {}
+
+    def train(*columns, **settings):
+        given.update(settings)
+        raise InterruptedError
+
+    monkeypatch.setattr(models, "training_rows", lambda spark, sf: None)
+    monkeypatch.setattr(models, "materialize", lambda rows, name: rows)
+    monkeypatch.setattr(models.plan, "train", train)
+    with pytest.raises(InterruptedError):
+        models._prepared.__wrapped__("app", None, SF)
+    assert given == {}
