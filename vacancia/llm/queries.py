@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,8 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vacancia import session
-from vacancia.llm import bpe, license_scan, packing, partenum, perplexity, rff_quality, superkmers, syncmers, token_rollup, url_filter
+from vacancia.llm import (
+    bpe, chat, collocations, license_scan, merkle, oracles, packing, partenum, perplexity, rff_quality, superkmers, syncmers,
+    token_rollup, url_filter,
+)
 from vacancia.llm.common import stored
+from vacancia.llm.order import placed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -146,3 +151,44 @@ def op9(spark, sf_dir):
 @query("op10_license_scan")
 def op10(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op11_collocations", oracles.COLLOCATIONS)
+def op11(spark, sf_dir):
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+@query("op12_merkle_manifest", oracles.MANIFEST)
+def op12(spark, sf_dir):
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    rows = docs.select("doc_id", "lang", merkle.digest(*fields, F.col("text")).alias("leaf"),
+                       F.when(tampered, merkle.digest(*fields, lowered)).alias("tampered"))
+    proved = merkle.prove(merkle.build(rows, "lang", "doc_id"))
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), "proof")
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", merkle.siblings_digest("proof").alias("proof_sha256"),
+        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+#: Fixed value: both texts of the conversation that the contract adds.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query("op13_chat_trees", oracles.CHAT)
+def op13(spark, sf_dir):
+    """Every conversation is a tree of one branch: each turn replies to the one before."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(
+        spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)],
+                              "conv_id long, turn long, role string, text string"))
+    replies = placed(rows, "conv_id", F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")).withColumn(
+        "parent", F.when(F.col("place") > 0, F.col("place") - 1))
+    formatted = chat.format_trees(replies, "conv_id", "place", "parent", score=None)
+    turns = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
+    return chat.parsed(formatted).select(
+        F.col("tree").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.concat_ws("", turns), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
