@@ -74,15 +74,17 @@ def main() -> int:
 
     if args.module:
         importlib.import_module(f"vacancia.catalog.{args.module}")
+        queries, oracles = registry.QUERIES, registry.ORACLES
     else:
-        importlib.import_module("__spark_entry__")
+        spark_entry = importlib.import_module("__spark_entry__")
+        queries, oracles = spark_entry.queries(), spark_entry.oracle_sql()
     spark = local_session("8")
     spark.sparkContext.setLogLevel("ERROR")
     db = duckdb.connect()
     for t in TABLES:
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     bad = 0
-    for name, run in registry.QUERIES.items():
+    for name, run in queries.items():
         if args.names and name not in args.names:
             continue
         if args.module and not run.__module__.endswith(args.module):
@@ -93,9 +95,9 @@ def main() -> int:
             rows = [tuple(r) for r in df.collect()]
             took = time.time() - start
             verdict, sql_took = "rows only", 0.0
-            if name in registry.ORACLES:
+            if name in oracles:
                 start = time.time()
-                cursor = db.execute(registry.ORACLES[name])
+                cursor = db.execute(oracles[name])
                 columns = [c[0] for c in cursor.description]
                 expected = cursor.fetchall()
                 sql_took = time.time() - start
