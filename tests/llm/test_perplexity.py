@@ -4,7 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
-import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from vacancia.llm import perplexity as Q
@@ -37,13 +37,13 @@ def test_base_counts():
 
 def direct(texts):
     """log p of each text's bytes, by interpolated modified Kneser-Ney from dictionaries."""
-    counts = Counter()
+    counts, n = Counter(), Q.ORDER
     for t in texts:
         data = Q.PAD + (t or "").encode()
-        for i in range(3, len(data)):
-            counts[data[i - 3:i + 1]] += 1
+        for i in range(n - 1, len(data)):
+            counts[data[i - n + 1:i + 1]] += 1
     tables = [counts]
-    for _ in range(3):
+    for _ in range(n - 1):
         lower = Counter(g[1:] for g in tables[0])
         tables.insert(0, lower)
 
@@ -74,20 +74,48 @@ def direct(texts):
         v = c.get(g, 0)
         return (v - (d[min(v, 3) - 1] if v else 0)) / total[g[:-1]] + held[g[:-1]] / total[g[:-1]] * lower
 
-    def score(t):
-        data = Q.PAD + t.encode()
-        return -sum(math.log(p(data[i - 3:i + 1])) for i in range(3, len(data))) / len(t.encode())
+    def without(g):
+        """With one of the gram's own counts taken out."""
+        if not g:
+            return 1 / 256
+        c, d, total, held = models[len(g) - 1]
+        v, of = c[g], g[:-1]
+        rest = held[of] - d[min(v, 3) - 1] + (d[min(v - 1, 3) - 1] if v > 1 else 0)
+        if v > 1:
+            return (v - 1 - d[min(v - 1, 3) - 1] + rest * p(g[1:])) / (total[of] - 1)
+        return rest / (total[of] - 1) * without(g[1:]) if total[of] > 1 else without(g[1:])
+
+    def score(t, own=False):
+        data, p_of = Q.PAD + t.encode(), without if own else p
+        return -sum(math.log(p_of(data[i - n + 1:i + 1])) for i in range(n - 1, len(data))) / len(t.encode())
 
     return score
 
 
-def test_model_equals_direct_computation(spark):
+@pytest.mark.parametrize("limit", [7, 40, 1 << 22])
+def test_model_equals_direct_computation(spark, limit):
+    """However small the slices, no gram is lost; grams outside the corpus back off."""
     df = spark.createDataFrame([(t,) for t in TEXTS], "text string").repartition(3)
-    scorer = Q.Scorer(Q.fit(df), Q.SLOT_BITS)
-    score = direct(TEXTS)
-    for t in ["the cat", "a mat sat on a rat", "zebra", "héé", "the\x00"]:
-        assert math.isclose(scorer.mean([b"pad", t.encode()])[1], score(t), rel_tol=1e-4), t
-    assert np.isnan(scorer.mean([b""])[0])
+    model, score = Q.fit(df), direct(TEXTS)
+    probes = ["the cat", "a mat sat on a rat", "zebra", "héé", "the\x00", "", None, "the cat", "q", *TEXTS]
+    asked = spark.createDataFrame([(i, t, None) for i, t in enumerate(probes)], "doc_id long, text string, lang string")
+    got = {r.doc_id: r.log_perplexity for r in Q.measure(asked.repartition(2), model, limit=limit).collect()}
+    assert len(got) == len(probes)
+    for i, t in enumerate(probes):
+        assert math.isclose(got[i], score(t), rel_tol=1e-4) if t else got[i] is None, t
+    own = df.withColumns({"doc_id": F.lit(1), "lang": F.lit("x")})
+    for r in Q.scores(own.withColumns(Q._text_key(F.col("text"))).select(*Q._TEXT_KEY, "text"), model, True, limit).join(
+            own.withColumns(Q._text_key(F.col("text"))), Q._TEXT_KEY).collect():
+        assert math.isclose(r.log_perplexity, score(r.text, own=True), rel_tol=1e-4)
+
+
+def test_slices_stay_within_their_limit(spark):
+    rng = random.Random(7)
+    df = spark.createDataFrame([("".join(rng.choice("abcdefgh ") for _ in range(400)),) for _ in range(20)], "text string")
+    top = Q.fit(df)[-1]
+    cut, n = Q._slices(top, 500)
+    assert n >= top.count() / 500 and cut.count() == top.count()
+    assert max(r["count"] for r in cut.groupBy("slice").count().collect()) <= 500
 
 
 def test_bands_reject_far_texts_and_keep_the_others(spark):
@@ -105,8 +133,16 @@ def test_bands_reject_far_texts_and_keep_the_others(spark):
 
 
 def test_odd_rows(spark, odd):
-    rows = Q.judge(odd, keep_row=True).collect()
-    assert len(rows) == odd.count() and all(len(r.row) == len(odd.columns) for r in rows)
+    rows = Q.judge(odd).collect()
+    assert len(rows) == odd.count()
+    more = odd.unionByName(odd.withColumn("text", F.repeat(F.lit("some plain words that go on "), 1 + F.length("source"))))
+    words = " ".join(f"w{i}" for i in range(80))
+    more = more.unionByName(odd.withColumn("text", F.lit(words)))
+    kept = Q.kept_rows(more)
+    judged = Counter((r.doc_id, r.lang, r.n_words) for r in Q.judge(more).filter("kept").collect())
+    assert kept.columns == odd.columns and sum(judged.values()) >= odd.count()
+    assert Counter((r.doc_id, r.lang, len((r.text or "").split())) for r in kept.collect()) == judged
+    assert Q.kept_rows(odd.limit(0)).collect() == []
     assert Q.judge(odd.limit(0)).collect() == []
 
 
