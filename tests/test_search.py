@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vacancia.functions import vectors as V
-from vacancia.operators import nearest, screening, tfidf
+from vacancia.operators import codes, nearest, screening, tfidf
 
 TEXTS = ["data engineer spark sql", "data analyst sql sql excel", "the chef", "", "spark spark data",
          "data engineer spark sql", "a b c", "zebra"]
@@ -109,12 +109,45 @@ def test_cells_restrict_and_hot_cells_split(spark, docs):
     assert (0, 4) in pairs and (0, 5) not in pairs and (5, 5) in pairs
 
 
+def recall(got, best):
+    assert len({(r.q_id, r.d_id) for r in got}) == len(got)
+    return sum(r.d_id in best[r.q_id] for r in got) / sum(map(len, best.values()))
+
+
 def test_approximate_search_recall(spark):
-    v, df = vectors(spark, 300, dims=16)
+    """Unclustered vectors: codes rank, a tenth of the pairs are scored exactly."""
+    v, df = vectors(spark, 600, dims=32)
     best = brute_topk(v, v, 5)
-    got = nearest.top_vectors_approx(df, df, "vec_id", "vec_id", "embedding", 5, rows_per_block=50).collect()
-    hits = sum(r.d_id in best[r.q_id] for r in got)
-    assert len({(r.q_id, r.d_id) for r in got}) == len(got) and hits / 1500 > 0.8
+    got = nearest.top_vectors_approx(df, df, "vec_id", "vec_id", "embedding", 5, parts=16, rerank=60, rows_per_block=170).collect()
+    assert recall(got, best) >= 0.97
+    for r in got:
+        assert r.score == pytest.approx(float(v[r.q_id] @ v[r.d_id]), abs=1e-6)
+
+
+def test_probed_cells_meet_a_part_of_the_documents(spark):
+    """Clustered vectors: recall of 0.9 from less than a quarter of the pairs, codes included."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(20, 24))
+    v = centres[rng.integers(0, 20, 800)] + 0.35 * rng.normal(size=(800, 24))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<double>")
+    settings = dict(parts=12, rerank=40, cells=16, probes=2, sample=400)
+    got = nearest.top_vectors_approx(df, df, "vec_id", "vec_id", "embedding", 5, **settings).collect()
+    unit = df.select(F.col("vec_id").alias("d_id"), F.col("embedding").alias("vec"))
+    books = codes.fit(unit, "d_id", "vec", 12, 16, 400)
+    pairs = codes.encode(unit, "vec", books).join(codes.probed(unit.withColumnRenamed("d_id", "q_id"), "vec", books, 2), "cell").count()
+    assert recall(got, brute_topk(v, v, 5)) >= 0.9 and pairs + 40 * 800 < 0.25 * 800 * 800
+
+
+def test_rows_without_vectors_or_terms_are_not_found(spark):
+    _, df = vectors(spark, 12)
+    gaps = df.unionByName(spark.createDataFrame([(90, None), (91, None)], df.schema))
+    for search in (nearest.top_vectors, nearest.top_vectors_approx):
+        got = {(r.q_id, r.d_id) for r in search(gaps, gaps, "vec_id", "vec_id", "embedding", 20).collect()}
+        assert got == {(i, j) for i in range(12) for j in range(12)}
+    terms = spark.createDataFrame([(1, ["a"], [1.0]), (2, None, None), (3, [], [])], "id long, terms array<string>, weights array<double>")
+    assert [(r.q_id, r.d_id) for r in nearest.top_documents(terms, terms, "id", "id", 3).collect()] == [(1, 1)]
+    assert nearest.top_vectors_approx(df.limit(0), df.limit(0), "vec_id", "vec_id", "embedding").collect() == []
 
 
 def test_normalize_leaves_zero_alone(spark):
