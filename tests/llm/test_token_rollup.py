@@ -44,6 +44,28 @@ def test_batches_equal_recount(spark, tmp_path):
     assert {(r.source, r.lang, r.version): r.docs + 1j * r.tokens for r in rollup.totals().collect()} == dict(want)
 
 
+def test_batch_committed_during_a_fold_counts_once(spark, tmp_path, monkeypatch):
+    def batch(n):
+        return spark.createDataFrame([(None, ("s", "en", "v", n))], f"old {STATE}, new {STATE}")
+
+    path = f"file://{tmp_path}/rollup"
+    rollup, other = token_rollup.Rollup(spark, path), token_rollup.Rollup(spark, path)
+    rollup.commit("first", batch(3))
+    sums = token_rollup.Rollup._sums
+
+    def slow(self, folders):
+        other.commit("between", batch(8))
+        return sums(self, folders)
+
+    monkeypatch.setattr(token_rollup.Rollup, "_sums", slow)
+    rollup.fold()
+    monkeypatch.undo()
+    assert [(r.docs, r.tokens) for r in rollup.totals().collect()] == [(2, 11)]
+    assert not rollup.commit("between", batch(8)) and rollup.batches() == {"first", "between"}
+    rollup.fold()
+    assert [(r.docs, r.tokens) for r in rollup.totals().collect()] == [(2, 11)]
+
+
 def test_counts(spark, odd):
     path = P.path("byte_bpe_50k.tiktoken")
     library = bpe.encoder(path, P.PATTERN).library

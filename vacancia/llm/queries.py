@@ -115,8 +115,10 @@ def op6(spark, sf_dir):
     nothing = F.lit(None).cast("struct<source:string,lang:string,version:string,tokens:bigint>")
     load = counted.select(nothing.alias("old"), state(F.lit(first)).alias("new"))
     move = counted.filter("doc_id % 2 = 1").select(state(F.lit(first)).alias("old"), state(F.lit(second)).alias("new"))
-    kept = counted.groupBy("digest").agg(F.min("doc_id").alias("kept"))
-    copies = counted.join(kept, "digest").filter("doc_id <> kept").select(state(now).alias("old"), nothing.alias("new"))
+    # All go and one of each text returns: sums of tasks meet, no row joins its copies.
+    kept = counted.groupBy("digest").agg(F.min_by(F.struct("doc_id", "source", "lang", "tokens"), "doc_id").alias("k")).select("k.*")
+    copies = counted.select(state(now).alias("old"), nothing.alias("new")).unionByName(
+        kept.select(nothing.alias("old"), state(now).alias("new")))
     rollup = token_rollup.Rollup(spark, session.scratch_path(spark, "rollup"))
     for batch, changes in (("load", load), ("move", move), ("load", load), ("copies", copies), ("move", move)):
         rollup.commit(batch, changes)

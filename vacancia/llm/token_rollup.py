@@ -87,10 +87,13 @@ class Rollup:
         self.spark.createDataFrame([(batch, folder, folded)], _COMMIT).coalesce(1).write.mode("append").parquet(
             f"{self.path}/commits")
 
-    def batches(self) -> set[str]:
-        rows = self._commits()
+    @staticmethod
+    def _ids(rows: list) -> set[str]:
         return {r.batch for r in rows if not r.folded} | {b for r in rows for b in r.folded or ()}
 
+    def batches(self) -> set[str]:
+        return self._ids(self._commits())
+
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch of (old, new) changes; False, and no effect, if its id is known."""
         if batch in self.batches():
@@ -100,8 +103,8 @@ class Rollup:
         self._record(batch, folder, [])
         return True
 
-    def _folders(self) -> list[str]:
-        rows = self._commits()
+    @staticmethod
+    def _folders(rows: list) -> list[str]:
         folds = [r for r in rows if r.folded]
         last = max(folds, key=lambda r: (len(r.folded), r.folder), default=None)
         done = set(last.folded) if last else set()
@@ -112,17 +115,22 @@ class Rollup:
         return rows.parquet(*folders).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
 
     def fold(self) -> None:
-        """Put all committed batches into one folder."""
-        known = sorted(self.batches())
+        """Put all committed batches into one folder.
+
+        Ids and folders come from one reading of the commits: a batch that is committed
+        meanwhile is in neither and stays beside the fold.
+        """
+        rows = self._commits()
+        known = sorted(self._ids(rows))
         if not known:
             return
         folder = f"{self.path}/deltas/{uuid.uuid4().hex}"
-        self._sums(self._folders()).write.parquet(folder)
+        self._sums(self._folders(rows)).write.parquet(folder)
         self._record(f"fold-{uuid.uuid4().hex}", folder, known)
 
     def totals(self) -> DataFrame:
         """(source, lang, version, docs, tokens) of all committed batches."""
-        folders = self._folders()
+        folders = self._folders(self._commits())
         if not folders:
             return self.spark.createDataFrame(
                 [], "source string, lang string, version string, docs long, tokens long")
