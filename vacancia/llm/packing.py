@@ -5,7 +5,7 @@ largest first. Bins that are full but for ``slack`` tokens are emitted; the othe
 out anew as items of the next round, to a ``fan_in``-th of the tasks, but to no fewer than
 leave a task ``carry`` of them. So no task grows with the input, and the last one packs alone
 only once the rest fits it. While more than that is open, rounds go on until no two bins
-have merged. Each round is written to the shared folder.
+have merged, at most ``LEVELS`` times; then what is open is emitted as it is. Each round is written to the shared folder.
 
 A document is its ids and the closing id; null and empty texts have the closing id alone.
 Only longer documents are cut, so that all pieces but the first are full. Repeated rows and
@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 from vacancia.llm.bpe import encoder, slices
 from vacancia.llm.common import ship, stored
 
+#: Rounds that sequence numbers have room for, above 2 ** 19 tasks of 2 ** 32 bins each.
+LEVELS = (1 << 12) - 1
+_LEVEL_BITS = 51
 _ITEM = "doc_id long, piece int, start long, length int, ids_crc32 long"
 _KIND = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()),
                    ("length", pa.int32()), ("ids_crc32", pa.int64())])
@@ -122,10 +125,10 @@ def pack(items: DataFrame, capacity: int, slack: int = 4, fan_in: int = 8, carry
         made = stored(_round(dealt, capacity, slack), f"bins-{level}")
         total, still_open = made.agg(F.count("*"), F.count(F.when(~F.col("done"), 1))).first()
         fewer = min(places, max(1, -(-places // fan_in), -(-still_open // carry)))
-        last = places == 1 or not still_open or (fewer == places and total == count)
+        last = places == 1 or not still_open or (fewer == places and total == count) or level == LEVELS
         emitted.append(
             (made if last else made.filter("done"))
-            .select((F.lit(level << 56) + F.col("bin")).alias("sequence_id"),
+            .select((F.lit(level << _LEVEL_BITS) + F.col("bin")).alias("sequence_id"),
                     F.explode(F.arrays_zip("members", "offsets")).alias("x"))
             .select("x.members.*", "sequence_id", F.col("x.offsets").alias("offset")))
         if last:
