@@ -7,7 +7,7 @@ groups of three partitions, as many groups as leave one group of any similar pai
 most one differing partition. A signature is what a set has in two of the three partitions
 of a group: all three choices are signed, so similar sets share a signature. A set with
 nothing in some choice also signs each shingle of its prefix (the smallest hashes, as many
-as any similar set must hit), which is exact for pairs that agree in empty choices only.
+as any similar set must hit) for that band, which is exact for pairs that agree in empty choices only.
 
 Signatures meet in buckets, where the first holder of each is the pivot of the others.
 Histograms of the sets' hashes give a lower bound of their difference: members beyond it are
@@ -41,6 +41,7 @@ CHOICES = ((0, 1), (0, 2), (1, 2))  # two of a group's three partitions
 _FLUSH = 48 << 20
 _BLOCK = 1024  # members of a pivot in one task
 _BUCKET_CHARS = 4_000_000
+RADII = (1, 2, 4, 16)  # of new pivots, in limits of a link
 _U = np.uint64
 
 
@@ -114,7 +115,6 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.
     out, who = [], []
     begins = np.cumsum(sizes) - sizes
     band = bands.of(sizes)
-    bare = np.zeros(len(sizes), bool)
     place, value = mixed(hashes ^ _U(0x2545F4914F6CDD1D)), mixed(hashes)
     of = np.repeat(np.arange(len(sizes)), sizes)
     signing = band >= 0
@@ -134,15 +134,16 @@ def signatures(hashes: np.ndarray, sizes: np.ndarray, bands: Bands) -> tuple[np.
         owner = np.repeat(np.arange(len(sizes)), groups)
         group = np.arange(len(owner)) - (np.cumsum(groups) - groups)[owner]
         tag = mixed(((band[owner] + step).astype(np.uint64) << _U(40)) + group.astype(np.uint64))
+        bare = np.zeros(len(sizes), bool)
         for c, (x, y) in enumerate(CHOICES):
             have = filled[x::3] | filled[y::3]
             out.append(mixed(sums[x::3] + sums[y::3] + tag + _U(c))[have])
             who.append(owner[have])
             bare[owner[~have]] = True
-    for i in np.flatnonzero(bare).tolist():
-        prefix = hashes[begins[i]:begins[i] + bands.prefix(int(sizes[i]))]
-        out.append(mixed(prefix ^ _U(0x14057B7EF767814F)))
-        who.append(np.full(len(prefix), i))
+        for i in np.flatnonzero(bare).tolist():
+            prefix = hashes[begins[i]:begins[i] + bands.prefix(int(sizes[i]))]
+            out.append(mixed(prefix ^ mixed(_U(0x14057B7EF767814F) + np.array([band[i] + step], np.uint64))))
+            who.append(np.full(len(prefix), i))
     return np.concatenate(out), np.concatenate(who)
 
 
@@ -314,9 +315,11 @@ def _sorted_out(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _new_pairs(table: pa.Table, percent: int) -> list[tuple[str, str]]:
     """Pairs to check among members of one pivot of which at least one is far from it.
 
-    Members of one component are not compared. A few pairs go as they are. Of many, far members become pivots until every far member
-    is near one; a new pivot's members are all within twice that distance, so that two
-    linked ones share it (differences of histograms obey the triangle inequality).
+    Members of one component are not compared. A few pairs go as they are. Of many, far members
+    become pivots until every far member is within a radius of one; a new pivot's members are
+    all within that radius and the limit of a link, so that two linked ones share it (differences
+    of histograms obey the triangle inequality). The radius grows until the pairs are few for
+    each member: at the last one a pivot takes all members of similar size.
     """
     names, sizes, far = table["x"].to_pylist(), table["n"].to_numpy(), table["far"].to_numpy()
     _, root = np.unique(np.array(table["root"].to_pylist()), return_inverse=True)
@@ -348,18 +351,24 @@ def _new_pairs(table: pa.Table, percent: int) -> list[tuple[str, str]]:
                 break
     else:
         return direct
-    covered, stars = np.zeros(len(names), bool), []
-    for i in rows:
-        if covered[i]:
-            continue
-        # A member's link may be as much larger or smaller again, and as far away again.
-        large = int(sizes[i]) * 100 // percent + 1
-        reach = _allowed(int(sizes[i]) + large, percent)
-        twice = reach + _allowed(large + large * 100 // percent + 1, percent)
-        to = np.flatnonzero(alike(i, percent * percent // 100))
-        d = distance(i, to)
-        covered[to[(d <= reach) & alike(i, percent)[to]]] = True
-        stars += [(names[i], names[j]) for j in to[d <= twice].tolist() if j != i]
+    # Members just beyond the limit of each other would all be pivots: then the radius grows.
+    for radius in RADII:
+        covered, stars = np.zeros(len(names), bool), []
+        for i in rows:
+            if covered[i]:
+                continue
+            # A member's link may be as much larger or smaller again, and one limit further away.
+            large = int(sizes[i]) * 100 // percent + 1
+            reach = radius * _allowed(int(sizes[i]) + large, percent)
+            beyond = reach + _allowed(large + large * 100 // percent + 1, percent)
+            to = np.flatnonzero(alike(i, percent * percent // 100))
+            d = distance(i, to)
+            covered[to[(d <= reach) & alike(i, percent)[to]]] = True
+            stars += [(names[i], names[j]) for j in to[d <= beyond].tolist() if j != i]
+            if len(stars) > most and radius < RADII[-1]:
+                break
+        else:
+            return stars
     return stars
 
 
