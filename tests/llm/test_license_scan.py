@@ -68,3 +68,9 @@ def test_notices_with_edits_are_found_and_others_not():
 def test_odd_rows(spark, odd):
     assert license_scan.scan(odd).count() == odd.count()
     assert license_scan.scan(odd.limit(0)).collect() == []
+
+
+def test_notices_that_follow_each_other_all_have_spans():
+    scanner = license_scan.Scanner(dict(license_scan.PHRASES), license_scan.NOTICES)
+    spans = scanner.scan("all right reserved all rights reserved x all rights reservd")[-1]
+    assert [(s["start"], s["stop"], s["edits"]) for s in spans if s["label"] == "reserved"] == [(0, 3, 1), (3, 6, 0), (7, 10, 1)]

@@ -4,7 +4,8 @@ Text is lower-cased (A-Z) and cut into words; words joined by one space are the
 form. A notice with e allowed edits is split into e + 1 pieces: a match with at most e edits
 keeps one piece whole, so occurrences of the pieces (one automaton over all notices) locate
 all candidates. Around each, bounded-error matching of the regex library verifies the
-edits and gives the span.
+edits and gives the span. Where notices of one kind follow each other, the best match is
+taken first and the text on both sides of it is searched again.
 
 Null and empty texts have no words and no labels. Rows are independent: repeated rows and
 ids, null ids and further columns do not matter. Whole texts are read, however long.
@@ -55,6 +56,17 @@ def seeds(notice: str, edits: int) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def _matches(pattern, text: str, begin: int, end: int) -> Iterator:
+    """Matches in ``text[begin:end]`` that do not overlap: the best one, then those beside it."""
+    parts = [(begin, end)]
+    while parts:
+        a, b = parts.pop()
+        m = pattern.search(text, a, b) if a < b else None
+        if m and m.end() > m.start():
+            yield m
+            parts += [(a, m.start()), (m.end(), b)]
+
+
 @dataclass
 class Scanner:
     """The automaton over all pieces and one bounded-error pattern for each notice."""
@@ -97,7 +109,7 @@ class Scanner:
         found = set()
         for k, spans in windows.items():
             for a, b in spans:
-                for m in self.patterns[k].finditer(text, a, b):
+                for m in _matches(self.patterns[k], text, a, b):
                     found.add((self.notices[k][1], m.start(), m.end(), sum(m.fuzzy_counts), m.group(), k))
         return sorted(found)
 
