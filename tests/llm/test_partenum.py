@@ -149,6 +149,7 @@ def test_histograms_bound_differences_and_new_pivots_reach_links():
             "hist": [partenum.histogram(x).tobytes() for x in sets], "block": [0] * len(sets), "i": [0] * len(sets),
             "j": [0] * len(sets)})
         made = partenum._new_pairs(table, percent)
+        assert len(made) <= 8 * len(sets)
         stars = {}
         for a, b in made:
             stars.setdefault(a, set()).add(b)
@@ -162,3 +163,49 @@ def test_histograms_bound_differences_and_new_pivots_reach_links():
                     x, y = str(i), str(j)
                     assert (x in near and y in near) or y in stars.get(x, ()) or x in stars.get(y, ()) or any(
                         x in s and y in s for s in stars.values())
+
+
+def test_members_just_beyond_the_limit_share_few_pivots():
+    """Copies of one text, each too far from every other one: pairs grow with the members."""
+    import pyarrow as pa
+
+    made = {}
+    for members in (100, 400):
+        rng = np.random.default_rng(3)
+        base = rng.integers(0, 1 << 63, 400, np.uint64) * np.uint64(2)
+        sets = []
+        for _ in range(members):
+            b = base.copy()
+            b[rng.choice(400, 27, replace=False)] = rng.integers(0, 1 << 63, 27, np.uint64) * np.uint64(2)
+            sets.append(np.unique(b))
+        names = [str(i) for i in range(members)]
+        table = pa.table({
+            "x": names, "root": names, "n": [len(x) for x in sets], "far": [True] * members,
+            "hist": [partenum.histogram(x).tobytes() for x in sets], "block": [0] * members, "i": [0] * members,
+            "j": [0] * members})
+        made[members] = partenum._new_pairs(table, 80)
+        covered = np.zeros((members, members), bool)
+        stars = {}
+        for x, y in made[members]:
+            covered[int(x), int(y)] = covered[int(y), int(x)] = True
+            stars.setdefault(x, []).append(int(y))
+        for s in stars.values():
+            covered[np.ix_(s, s)] = True
+        rows = partenum._folded([partenum.histogram(x).tobytes() for x in sets])
+        sizes = np.array([len(x) for x in sets])
+        for i in range(members):
+            close = np.abs(rows - rows[i]).sum(1) <= partenum._allowed(sizes + sizes[i], 80)
+            assert covered[i][close & (np.arange(members) != i)].all()
+    assert 399 <= len(made[400]) <= 8 * 400  # one pivot with all others at least
+
+
+def test_prefixes_are_signed_for_the_band_two_sets_share():
+    """Sets of neighbouring bands that agree where a choice is empty still meet; far sizes do not."""
+    bands = partenum.Bands(80)
+    rng = np.random.default_rng(5)
+    common = np.sort(rng.integers(0, 1 << 63, 3000, np.uint64))
+    sets = [common[:n] for n in (40, 44, 48, 300, 3000)]
+    sig, who = partenum.signatures(np.concatenate(sets), np.array([len(s) for s in sets]), bands)
+    held = [set(sig[who == i].tolist()) for i in range(len(sets))]
+    assert held[0] & held[1] and held[1] & held[2]
+    assert not held[0] & held[3] and not held[3] & held[4]
