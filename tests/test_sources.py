@@ -1,7 +1,10 @@
+import bz2
 import gzip
 import json
+import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from vacancia import schema as S
 from vacancia.operators import standardise as N
@@ -61,6 +64,43 @@ def test_a_broken_compressed_file_fails(spark, tmp_path):
         csv_files.read_or_gz(spark, f"file://{tmp_path}/x.csv", S.strings(["a"])).count()
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_broken_compressed_files_are_recorded_not_fatal(spark, tmp_path, multi_line):
+    folder = tmp_path / "p"
+    write(folder / "plain.csv", "title,company\na,b\n")
+    lines = "title,company\n" + "".join(f"t{i},c{i * 7919}\n" for i in range(20000))
+    (folder / "whole.csv.gz").write_bytes(gzip.compress(lines.encode()))
+    (folder / "whole.csv.bz2").write_bytes(bz2.compress(b"company,title\nB,T\n"))
+    (folder / "whole.csv.deflate").write_bytes(zlib.compress(lines.encode()))
+    (folder / "cut.csv.gz").write_bytes(gzip.compress(lines.encode())[:30000])
+    (folder / "cut.csv.deflate").write_bytes(zlib.compress(lines.encode())[:30000])
+    (folder / "not.csv.gz").write_bytes(b"title,company\na,b\n")
+    rows, bad, headers = csv_files.read_globs(spark, [f"file://{tmp_path}/*/*.csv*"], N.standardise_silver, multi_line=multi_line)
+    audit = {r.file_name: r for r in csv_files.file_audit(headers, rows, bad).collect()}
+    assert {n for n, r in audit.items() if r.status.startswith("failed: ")} == {"cut.csv.gz", "cut.csv.deflate", "not.csv.gz"}
+    assert {n: r.raw_count for n, r in audit.items() if r.raw_count} == {
+        "plain.csv": 1, "whole.csv.gz": 20000, "whole.csv.bz2": 1, "whole.csv.deflate": 20000}
+    assert bad.count() == 0 and audit["cut.csv.gz"].columns == 0
+
+
+def test_records_are_cut_without_python(spark, tmp_path):
+    write(tmp_path / "p" / "a.csv", 'title,"com""pany", salary\n"a ""x"", y",,"1\n2"\n,"",\n b ,c\nd,e,f,\nlone\nx,"open,y\n')
+    write(tmp_path / "p" / "b.csv", 'title\n"q,r"\n\n  s\n')
+    records = csv_files.read_records(spark, [f"file://{tmp_path}/*/*.csv"])
+    headers = csv_files.file_headers(csv_files.list_files(spark, f"file://{tmp_path}/*/*.csv"), records)
+    names = {r.path[-5:]: r.header for r in headers.collect()}
+    assert names == {"a.csv": ["title", 'com"pany', " salary"], "b.csv": ["title"]}
+    body = records.filter(~F.col("record").startswith("title") | F.col("record").isNull()).withColumns(
+        {"width": F.when(F.col("file_path").endswith("a.csv"), 3).otherwise(1), "header_id": F.lit(7)})
+    cut = csv_files._cut_all(body)
+    assert "Python" not in cut._jdf.queryExecution().toString() and "MapIn" not in headers._jdf.queryExecution().toString()
+    got = sorted(((r.file_path[-5:], r.header_id, r.fields, r.record) for r in cut.collect()), key=str)
+    assert got == sorted([
+        ("a.csv", 7, ['a "x", y', None, "1\n2"], None), ("a.csv", 7, [None, None, None], None), ("a.csv", 7, [" b ", "c"], None),
+        ("a.csv", -1, None, "d,e,f,"), ("a.csv", 7, ["lone"], None), ("a.csv", -1, None, 'x,"open,y'),
+        ("b.csv", 7, ["title"], None), ("b.csv", 7, ["q,r"], None), ("b.csv", 7, ["  s"], None)], key=str)
+
+
 def test_source_reads_batches_and_skips_samples(spark, tmp_path):
     write(tmp_path / "s" / "batches" / "s_1.csv", "job_id,title\n1,a\n")
     write(tmp_path / "s" / "master.csv", "job_id,title\n2,b\n")
