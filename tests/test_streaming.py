@@ -44,6 +44,45 @@ def test_upsert_stream_equals_batch_twin(spark, tmp_path):
     now = landing.current(spark, log, schema, ["job_id"], "scraped_at")
     batch = dedup.last_by_id(spark.read.schema(schema).option("header", True).csv(source), "scraped_at")
     assert now.exceptAll(batch).count() == 0 and batch.exceptAll(now).count() == 0
-    landing.compact(spark, log, f"file://{tmp_path}/compacted", schema, ["job_id"], "scraped_at")
-    packed = landing.current(spark, f"file://{tmp_path}/compacted", schema, ["job_id"], "scraped_at")
+    landing.compact(spark, log, schema, ["job_id"], "scraped_at")
+    packed = landing.current(spark, log, schema, ["job_id"], "scraped_at")
     assert packed.exceptAll(now).count() == 0 and packed.count() == now.count()
+    assert landing.live(landing.commits(spark, log)).count() == 1 and landing.retired(spark, log).count() == 4
+    # The table read before the compaction still reads its own folders.
+    assert now.count() == packed.count()
+
+
+def test_compaction_beside_readers_and_batches(spark, tmp_path):
+    schema = S.strings(["job_id", "title", "scraped_at"])
+    log, keys = f"file://{tmp_path}/log", ["job_id"]
+
+    def batch(number, *rows, buckets=3):
+        df = spark.createDataFrame(rows, schema)
+        landing._add(landing.newest(df, keys, "scraped_at"), log, keys, buckets, number, False)
+
+    def now():
+        return sorted((r.job_id or "", r.title) for r in landing.current(spark, log, schema, keys, "scraped_at").collect())
+
+    assert now() == [] and landing.retired(spark, log).isEmpty()
+    batch(0, ("a", "a0", "0"), ("b", "b0", "0"), (None, "n0", "0"))
+    batch(1, ("a", "a1", "1"))
+    seen = spark.createDataFrame(landing.commits(spark, log).collect(), landing._COMMITS)
+    reader = landing.current(spark, log, schema, keys, "scraped_at")
+    batch(2, ("c", "c2", "2"), ("b", "b2", "2"))  # committed while the compaction works
+    landing.compact(spark, log, schema, keys, "scraped_at", seen=seen)
+    want = [("", "n0"), ("a", "a1"), ("b", "b2"), ("c", "c2")]
+    assert now() == want and {r.upto for r in landing.live(landing.commits(spark, log)).collect()} == {1, 2}
+    assert sorted(r.title for r in reader.collect()) == ["a1", "b0", "n0"]
+    # A second compactor that started from the same commits, and a batch written twice.
+    landing.compact(spark, log, schema, keys, "scraped_at", seen=seen)
+    batch(2, ("c", "c2", "2"), ("b", "b2", "2"))
+    assert now() == want and landing.live(landing.commits(spark, log)).count() == 2
+    # Another number of buckets, rows without a commit, one more round.
+    batch(3, ("d", "d3", "3"), buckets=5)
+    spark.createDataFrame([("a", "lost", "9", 0)], "job_id string, title string, scraped_at string, log_bucket int").write.partitionBy(
+        "log_bucket").parquet(f"{log}/rows/log_folder=batch-4-dead")
+    found = landing.lookup(spark, log, schema, keys, "scraped_at", spark.createDataFrame([("a",), (None,)], "job_id string"))
+    assert sorted(r.title for r in found.collect()) == ["a1", "n0"]
+    landing.compact(spark, log, schema, keys, "scraped_at", buckets=2)
+    landing.compact(spark, log, schema, keys, "scraped_at")
+    assert now() == [*want, ("d", "d3")] and landing.live(landing.commits(spark, log)).count() == 1
