@@ -1,7 +1,9 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +82,25 @@ def test_exact_search_equals_brute_force_over_blocks(spark, rows_per_block):
     assert found == brute_topk(v, v, 5)
 
 
+@pytest.mark.parametrize("copies", [0, 1500])
+def test_a_block_holds_the_lists_not_the_documents(monkeypatch, copies):
+    """Memory of a block is that of k entries a query, however many runs of documents pass."""
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(3000, 8))
+    v[:copies] = v[0]
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    frame = pd.DataFrame({"id": np.arange(3000), "vec": list(v)})
+    q, d = frame.iloc[:2000].rename(columns={"id": "q_id"}), frame.rename(columns={"id": "d_id"})
+    monkeypatch.setattr(nearest, "_CHUNK", 200_000)
+    tracemalloc.start()
+    got = nearest._kernel(100, False)(q, d)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # keeping every run's best took 637 MB
+    want = brute_topk(v[:2000], v, 100)
+    assert {i: list(g) for i, g in got.groupby("q_id")["d_id"]} == want
+
+
 def test_fewer_documents_than_k(spark):
     _, df = vectors(spark, 3)
     got = nearest.top_vectors(df, df, "vec_id", "vec_id", "embedding", 5)
