@@ -1,3 +1,5 @@
+import contextlib
+import io
 import math
 import tracemalloc
 from collections import Counter
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vacancia.functions import vectors as V
 from vacancia.operators import codes, nearest, screening, tfidf
+from vacancia.plans import matching as plan
 
 TEXTS = ["data engineer spark sql", "data analyst sql sql excel", "the chef", "", "spark spark data",
          "data engineer spark sql", "a b c", "zebra"]
@@ -121,6 +124,61 @@ def test_sparse_search_equals_term_join(spark, docs):
         assert [r.d_id for r in sorted(got, key=lambda r: r["rank"]) if r.q_id == q] == want
 
 
+def test_terms_of_postings_are_not_shuffled(spark):
+    """Only texts move, once; the rows of terms made of them stay where they are."""
+    jobs = spark.createDataFrame([(str(i), t) for i, t in enumerate(TEXTS)], "job_id string, job_title string")
+    for c in ("role_category", "skills", "description", "location", "experience"):
+        jobs = jobs.withColumn(c, F.lit(None).cast("string"))
+    rec = plan.Recommender(jobs, ["the"], min_df=1)
+    codes = rec.vocabulary.withColumn("code", F.xxhash64("term"))
+    for frame in (rec.weights(), tfidf.coded_vectors(rec.counts, "job_id", rec.vocabulary, codes)):
+        lines = explained(frame)
+        moved = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+        cut = [i for i, x in enumerate(lines) if "Generate explode" in x]
+        assert len(moved) == 1 and len(cut) == 1 and moved[0] > cut[0]  # the line below comes first
+
+
+def explained(frame):
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        frame.explain()
+    return out.getvalue().splitlines()
+
+
+def test_coded_vectors_are_the_vectors_of_coded_terms(spark, docs):
+    vocabulary = tfidf.fit(docs, "doc_id", "text", ["the"], min_df=1)
+    codes = vocabulary.filter("term like '%s%'").select("term", F.hash("term").alias("code"))
+    want = tfidf.transform(docs, "doc_id", "text", vocabulary, ["the"]).join(codes, "term")
+    got = tfidf.coded_vectors(tfidf.term_counts(docs, "doc_id", "text", ["the"]), "doc_id", vocabulary, codes)
+    got = {(r.doc_id, t): w for r in got.collect() for t, w in zip(r.terms, r.weights, strict=True)}
+    assert got == pytest.approx({(r.doc_id, r.code): r.weight for r in want.collect()}) and len(got) > 5
+
+
+def test_document_blocks_stop_growing_in_number(spark):
+    """Every block is a copy of all queries: past several a core, blocks grow instead."""
+    df = spark.range(1000).select(F.lit(0).alias("cell"))
+    cores = spark.sparkContext.defaultParallelism
+    for one in (True, False):
+        assert nearest._with_blocks(df, df, 2, 100_000, "n", one).first()["n"] == 4 * cores
+        assert nearest._with_blocks(df, df, 2, 2, "n", one).first()["n"] == 500
+
+
+def test_lists_and_matrices_score_alike(monkeypatch):
+    rng = np.random.default_rng(5)
+
+    def rows(n, name):
+        terms = [np.sort(rng.choice(30, rng.integers(0, 6), replace=False)).astype(np.int32) for _ in range(n)]
+        return pd.DataFrame({name: np.arange(n), "terms": terms, "weights": [rng.random(len(t)) for t in terms]})
+
+    q, d = rows(40, "q_id"), rows(300, "d_id")
+    found = []
+    for listed in (0, 10**9):
+        monkeypatch.setattr(nearest, "_LISTED", listed)
+        found.append(nearest._kernel(4, True)(q, d))
+    pd.testing.assert_frame_equal(*found)
+    assert len(found[0]) > 100
+
+
 def test_cells_restrict_and_hot_cells_split(spark, docs):
     vocabulary = tfidf.fit(docs, "doc_id", "text", min_df=1)
     v = tfidf.vectors(tfidf.transform(docs, "doc_id", "text", vocabulary), "doc_id")
