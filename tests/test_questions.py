@@ -1,3 +1,10 @@
+import contextlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+from vacancia.operators import tfidf
 from vacancia.plans import questions as Q
 
 DOCS = [(1, "spark sql engineer pipelines", "Data Engineer"), (2, "excel reports and dashboards", "Analyst"),
@@ -35,3 +42,27 @@ def test_index_refresh_and_stored_encoder(spark, tmp_path):
     rows = {r.job_id: r for r in now.collect()}
     assert sorted(rows) == [1, 2, 3, 4, 9] and rows[2].stamp == "2" and rows[1].stamp == "1"
     assert rows[9].terms == rows[1].terms and rows[4].terms is None
+
+
+def test_texts_are_encoded_inside_their_row(spark):
+    """One shuffle, of texts: no term row is grouped, sorted or joined, and all weights are the relational ones."""
+    docs, coder = frames(spark)
+    got = coder.weights(docs, "job_id", "document_text")
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        got.explain()
+    plan = out.getvalue()
+    assert plan.count("Exchange") == 1 and "Window" not in plan and "Join" not in plan and "Aggregate" not in plan
+    counts = tfidf.hashed_counts(docs, "job_id", "document_text", coder.dimensions)
+    counts = counts.withColumn("term", F.col("term").cast("string"))
+    want = {(r.job_id, r.term): r.weight for r in tfidf.weights_of(counts, "job_id", coder.model).collect()}
+    assert {(r.job_id, r.term): r.weight for r in got.collect()} == pytest.approx(want) and len(want) > 12
+
+
+def test_an_index_is_stored_and_keeps_rows_without_terms(spark):
+    docs, coder = frames(spark)
+    index = Q.index_rows(coder, docs, "job_id", "document_text", "1")
+    assert len(index.inputFiles()) > 0 and {r.job_id for r in index.filter("terms IS NULL").collect()} == {4}
+    assert {r.job_id for r in coder.vectors(docs, "job_id", "document_text").collect()} == {1, 2, 3}
+    unknown = spark.createDataFrame([(7, "qqqq")], "job_id int, document_text string")
+    assert coder.vectors(unknown, "job_id", "document_text").count() == 0

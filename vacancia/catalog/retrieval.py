@@ -204,9 +204,9 @@ _ASKED = "items AS (SELECT item_id, text AS question FROM benchmark)"
 
 def _index(spark, sf, coder):
     docs = X.table(spark, sf, "documents").select(
-        "doc_id", "text", F.col("lang").alias("title"), F.col("source").alias("company"), F.lit("").alias("location"),
+        "doc_id", F.col("lang").alias("title"), F.col("source").alias("company"), F.lit("").alias("location"),
         F.lit("").alias("skills"), F.col("text").alias("document_text"))
-    return questions.index_rows(coder, docs, "doc_id", "text", "1").drop("text")
+    return questions.index_rows(coder, docs, "doc_id", "document_text", "1")
 
 
 def _items(spark, sf):

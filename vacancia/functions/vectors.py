@@ -23,10 +23,15 @@ def norm(v) -> Column:
 def normalize(v) -> Column:
     """Unit-length vector; the zero vector stays as it is."""
     length = F.nullif(norm(v), F.lit(0.0))
-    scaled = F.transform(doubles(v), lambda x: x / length)
+    scaled = once(length, lambda n: F.transform(doubles(v), lambda x: x / n))
     return F.when(length.isNotNull(), scaled).otherwise(doubles(v))
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, not for every element of an inner lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def max_cosine(v, patterns: list[list[float]]) -> Column:
     """Largest cosine with any of a short list of pattern vectors (configuration)."""
     literal = F.array(*[F.array(*[F.lit(float(x)) for x in p]) for p in patterns])

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vacancia import dictionaries as D
+from vacancia.functions import vectors as V
 from vacancia.operators import context, dedup, nearest, screening, tfidf
+from vacancia.operators.reshape import explode_items
 from vacancia.session import materialize
 
 DIMENSIONS = 1 << 14
@@ -26,21 +30,46 @@ class Encoder:
         counts = tfidf.hashed_counts(docs, doc_id, text, dimensions, stop_words)
         n_docs = docs.select(F.count(F.lit(1))).scalar()
         model = tfidf.vocabulary_of(counts, n_docs, max_features=None, min_df=1)
-        return cls(materialize(model, "encoder"), stop_words, dimensions)
+        return cls(materialize(model.withColumn("term", F.col("term").cast("string")), "encoder"), stop_words, dimensions)
+
+    @cached_property
+    def _idf(self) -> Column:
+        """The idf of every cell as one constant array (``dimensions`` numbers), NaN where the model has none."""
+        idf = ["NaN"] * self.dimensions
+        for r in self.model.select("term", "idf").collect():  # a row a cell at most
+            idf[int(r.term)] = repr(r.idf)
+        return F.split(F.lit(",".join(idf)), ",").cast("array<double>")
+
+    def encoded(self, df: DataFrame, row_id: str, text: str) -> DataFrame:
+        """``df`` with ``terms`` (cell numbers) and ``weights`` of unit length, NULL without a known term.
+
+        Worked out inside the row: texts move once, their terms never.
+        """
+        rows = tfidf.hashed_rows(df, row_id, text, self.dimensions, self.stop_words)
+        weighed = F.transform("_cells", lambda c: F.struct(
+            c["term"].alias("term"), (c["tf"] * F.get(self._idf, c["term"])).alias("weight")))
+        rows = rows.select(*df.columns, F.filter(weighed, lambda c: ~F.isnan(c["weight"])).alias("_w"))
+        length = F.sqrt(F.aggregate("_w", F.lit(0.0), lambda s, c: s + c["weight"] * c["weight"]))
+        there = F.size("_w") > 0
+        return rows.select(*df.columns, F.when(there, F.col("_w.term")).alias("terms"), F.when(there, V.once(
+            length, lambda n: F.transform("_w", lambda c: c["weight"] / n))).alias("weights"))
 
     def weights(self, df: DataFrame, row_id: str, text: str) -> DataFrame:
         """(row_id, term, weight) of unit length."""
-        counts = tfidf.hashed_counts(df, row_id, text, self.dimensions, self.stop_words)
-        return tfidf.weights_of(counts, row_id, self.model)
+        rows = self.encoded(df.select(row_id, text), row_id, text)
+        pairs = explode_items(rows, [row_id], F.arrays_zip("terms", "weights"), "_p")
+        return pairs.select(row_id, F.col("_p.terms").cast("string").alias("term"), F.col("_p.weights").alias("weight"))
 
     def vectors(self, df: DataFrame, row_id: str, text: str) -> DataFrame:
-        """(row_id, terms, weights), stored."""
-        return materialize(tfidf.vectors(self.weights(df, row_id, text), row_id), "vectors")
+        """(row_id, terms, weights) of the rows with a known term, stored."""
+        rows = self.encoded(df.select(row_id, text), row_id, text).select(row_id, "terms", "weights")
+        # Filtered when stored: a filter on computed arrays would be pushed down to the text and cut it again.
+        return materialize(rows, "vectors").filter("terms IS NOT NULL")
 
 
 def index_rows(encoder: Encoder, documents: DataFrame, key: str, text: str, stamp: str) -> DataFrame:
-    """Documents with their vectors; every column stays as metadata."""
-    return documents.join(encoder.vectors(documents, key, text), key, "left").withColumn("stamp", F.lit(stamp))
+    """Documents with their vectors, stored; every column stays as metadata."""
+    return materialize(encoder.encoded(documents, key, text).withColumn("stamp", F.lit(stamp)), "index")
 
 
 def refreshed(index: DataFrame, changes: DataFrame, key: str) -> DataFrame:
