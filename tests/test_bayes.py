@@ -47,3 +47,14 @@ def test_empty_tables(spark):
     some = bayes.fit(weights, spark.createDataFrame([(1, "x"), (2, "y"), (3, "y")], "key long, label string"), 5, "key", "label")
     assert [tuple(r) for r in bayes.predict(weights, asked, some, "key").collect()] == [(1, "y")]
     assert bayes.predict(weights, asked.limit(0), some, "key").collect() == []
+
+
+def test_term_counts_are_not_stored(spark, monkeypatch):
+    """Stored term rows would be shuffled again by posting; weights of the split rows are stored once."""
+    from vacancia.catalog import models
+
+    stored = []
+    keep = models.materialize
+    monkeypatch.setattr(models, "materialize", lambda df, name: stored.append(df.columns) or keep(df, name))
+    models._bayes.__wrapped__("test", spark, "/root/testdata/sf0.001")
+    assert len(stored) == 3 and not any("tf" in columns for columns in stored)
