@@ -70,3 +70,25 @@ def test_score_band_edges(spark):
 def test_document_text_prints_null_as_empty(one):
     doc = T.document_text([("Title", F.col("a")), ("Pay", F.col("b"))])
     assert one(doc, a="x", b=None) == "Title: x\nPay: "
+
+
+def test_strip_takes_what_the_pattern_takes(spark):
+    codes = [*range(0x20), *range(0x7F, 0x100), 0x1680, 0x180E, *range(0x2000, 0x2070), 0x3000, 0xFEFF]
+    rows = spark.createDataFrame([(f"{chr(c)} a{chr(c)}b {chr(c)}\n",) for c in codes], "x string")
+    assert rows.filter(T.strip("x") != F.regexp_replace("x", T.EDGE_SPACE, "")).isEmpty()
+
+
+def test_text_left_is_told_as_by_the_cleaned_text(spark):
+    texts = [None, "", " ", "é", "é é", "ltd", " Pvt  LTD. ", "l&td", "inc-llp", "Incline", "acme ltd", "+", "private", "é inc"]
+    rows = spark.createDataFrame([(x,) for x in texts], "x string")
+    told = rows.select(T.strict_left("x") == (T.clean_strict("x") != ""), T.company_left("x") == (T.company_norm("x") != ""))
+    assert {tuple(r) for r in told.collect()} == {(True, True)}
+    # The suffixes are cut where no other letter tells, not in every row.
+    plan = rows.select(T.company_left("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert " OR " in plan
+
+
+def test_visible_text_of_plain_values(one):
+    assert one(T.html_text("x"), x=" plain  text ") == "plain text"
+    assert one(T.html_text(F.concat("x", F.lit("&amp;<i>b</i>"))), x="a") == "a& b"
+    assert one(T.html_text("x"), x=None) is None

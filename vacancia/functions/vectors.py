@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from vacancia.functions.text import col
+from vacancia.functions.text import col, once
 
 
 def doubles(v) -> Column:
@@ -27,11 +27,6 @@ def normalize(v) -> Column:
     return F.when(length.isNotNull(), scaled).otherwise(doubles(v))
 
 
-def once(value: Column, use) -> Column:
-    """``use(value)`` with the value worked out once, not for every element of an inner lambda."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def max_cosine(v, patterns: list[list[float]]) -> Column:
     """Largest cosine with any of a short list of pattern vectors (configuration)."""
     literal = F.array(*[F.array(*[F.lit(float(x)) for x in p]) for p in patterns])
