@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from vacancia import schema as S
-from vacancia.operators import classify as K, context
+from __spark_entry__ import queries
+from vacancia.operators import classify as K, context, demand as M
 from vacancia.plans import gold as G, matching as plan
 
 RAW = "job_title string, company string, location string, experience string, salary string, skills string, description string, job_url string, posted_date string, source string"
@@ -146,3 +147,18 @@ def test_retrieval_context_orders_by_rank(spark):
     assert row.context == ("\nJob 1\nTitle: A\nCompany: c\nLocation: l\nSkills: s\nDescription:\none\n"
                            "\nJob 2\nTitle: B\nCompany: \nLocation: \nSkills: \nDescription:\ntwo\n")
     assert row.prompt.endswith("\n\nUSER QUESTION:\nq?\n")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_salary_is_cut_once_in_each_place_that_reads_it(gold):
+    """The filter's two bounds and the projection: it was cut 6 times with 48 patterns."""
+    plan = _plan(M.salary_insights(gold))
+    assert plan.count("regexp_extract_all") <= 3 and plan.count("btrim") + plan.count("trim(") <= 9
+
+
+def test_report_left_works_gold_out_once(spark):
+    df = queries()["join_report_left"](spark, "/root/testdata/sf0.001")
+    assert "Window" not in _plan(df)  # both sides read the stored columns

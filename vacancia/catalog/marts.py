@@ -36,7 +36,7 @@ SELECT g.company, cast(count(*) AS bigint) AS job_count, cast(coalesce(max(v.n),
 FROM gold g LEFT JOIN (SELECT company, count(*) AS n FROM gold WHERE salary_avg BETWEEN 1000000 AND 10000000
   GROUP BY company) v USING (company) GROUP BY g.company""")
 def join_report_left(spark, sf):
-    gold = X.gold(spark, sf).select("company", "salary_avg")
+    gold = materialize(X.gold(spark, sf).select("company", "salary_avg"), "companies")  # both sides of the join
     valid = M.demand(N.salary_band(gold, 1e6, 1e7), "company", name="valid_salary_records")
     return joins.report_left(M.demand(gold, "company"), valid, "company", "valid_salary_records")
 
