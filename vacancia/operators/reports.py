@@ -75,7 +75,7 @@ def rows_by_key(df: DataFrame) -> DataFrame:
 
     Rows with no text in title or company share the NULL key.
     """
-    kept = (X.clean_strict("title") != "") & (X.company_norm("company") != "")
+    kept = X.strict_left("title") & X.company_left("company")
     key = F.when(kept, X.dedup_key("title", "company", "location"))
     return df.groupBy("source", key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
 
