@@ -31,14 +31,17 @@ def _text(path: str) -> Column:
 
 
 def _items(payloads: DataFrame, payload: str, schema: str, path: list[str], item: str):
-    """One row per list element that is an object, parsed once into ``item``."""
+    """One row per list element that is an object, parsed once into ``item``.
+
+    Parsed inside the list, so that a filter on the item does not parse it again.
+    """
     elements = F.from_json(payload, schema)
     for part in path:
         elements = elements.getField(part)
+    objects = F.transform(elements, lambda x: F.when(x.startswith("{"), F.from_json(x, item)))
     others = [c for c in payloads.columns if c != payload]
-    raw = payloads.select(*others, F.posexplode_outer(elements).alias("_pos", "_raw"))
-    raw = raw.filter(F.col("_raw").startswith("{"))
-    return others, raw.withColumn("item", F.from_json("_raw", item))
+    rows = payloads.select(*others, F.posexplode_outer(objects).alias("_pos", "item"))
+    return others, rows.filter(F.col("item").isNotNull())
 
 
 def valid_items(payloads: DataFrame, payload: str = "payload") -> DataFrame:
