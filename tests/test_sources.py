@@ -197,3 +197,23 @@ def test_batch_append_replaces_its_own_batch(spark, tmp_path):
         sinks.append_batch(df, path, stamp)
     got = spark.read.option("header", True).csv(path)
     assert got.count() == 2 and got.first().v == " a "
+
+
+def test_payload_items_are_parsed_once(spark):
+    payloads = spark.createDataFrame([('{"jobSearchResponse":{"data":["x",{"title":""},null,{"jobId":"1","title":" a ","skills":["p","q"]},[1]]}}',),
+                                      ("{}",), ("no json",), (None,)], "payload string")
+    rows = json_payloads.foundit_rows(payloads)
+    assert [(r.job_id, r.title, r.skills) for r in rows.collect()] == [("1", "a", "p, q")]
+    # A filter on the title had the item parsed again beneath the projection.
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_json(StructField(jobId") <= 1
+
+
+def test_card_fields_of_odd_markup(spark):
+    card = ('<p class="a > company-name">A&amp;B</p><a href="/q" class="job-title-href"><b>T</b> x</a>'
+            '<p class="locations"></p>job_skill<div class="job_skill">s <i>1</i></div><div class="job_skill">s2</div>')
+    row = web_pages.card_fields(spark.createDataFrame([(card,), ("",)], "card string")).collect()
+    assert (row[0].company, row[0].job_title, row[0].location) == ("A&B", "T x", "")
+    assert (row[0].skills, row[0].job_url) == ("s 1,s2", "https://internshala.com/q")
+    assert row[0].posted_date is None and (row[1].job_title, row[1].skills, row[1].job_url) == (None, "", "")
+    plan = web_pages.card_fields(spark.createDataFrame([(card,)], "card string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1  # only skills want every match
