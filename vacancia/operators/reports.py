@@ -110,7 +110,8 @@ def silver_metrics(df: DataFrame) -> DataFrame:
     key = X.job_id(
         *[X.clean_basic(c) for c in ("job_title", "company", "location")], F.col("source")
     )
-    per_key = df.groupBy(F.when(complete, key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    # The id's 16 bytes: as text it is twice as long, and its letters do not compress.
+    per_key = df.groupBy(F.when(complete, F.unhex(key)).alias("k")).agg(F.count(F.lit(1)).alias("n"))
     total = F.coalesce(F.sum("n"), F.lit(0))
     kept = F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n"))), F.lit(0))
     return per_key.agg(
