@@ -162,3 +162,10 @@ def test_salary_is_cut_once_in_each_place_that_reads_it(gold):
 def test_report_left_works_gold_out_once(spark):
     df = queries()["join_report_left"](spark, "/root/testdata/sf0.001")
     assert "Window" not in _plan(df)  # both sides read the stored columns
+
+
+def test_split_rows_are_stored_for_the_fits(spark):
+    df = spark.range(60).selectExpr("id AS k", "concat('l', id % 2) AS y", "concat('word', id % 2, ' other') AS text")
+    *_, known, held_out = plan.train(df, "text", "y", "k")
+    # Every fit and encoding split the rows anew.
+    assert (known.count(), held_out.count()) == (48, 12) and "Window" not in _plan(held_out)
