@@ -57,6 +57,16 @@ def test_equals_definition(spark, monkeypatch, slot_bits):
     assert len(got) > 20 and got == by_definition(rows, 4, 25)
 
 
+def test_rare_triples_of_frequent_pairs_have_no_rows(spark):
+    """All 64 pairs are frequent, no triple is: a row per pair, not one per place."""
+    rng = random.Random(5)
+    rows = [(" ".join(rng.choices("abcdefgh", k=12)), "en") for _ in range(300)]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    found = collocations.edges(df, 30, 22).collect()
+    assert len(found) == 64 and sum(r.n for r in found) == 300 * 11
+    assert mined(df, least=30, slot_bits=22) == by_definition(rows, 30, 2000)
+
+
 def test_ties_at_the_end_of_a_language(spark):
     rows = [(f"p{i} q{i}", "en") for i in range(30) for _ in range(2)]
     got = mined(spark.createDataFrame(rows, "text string, lang string"), least=2, top=7, slot_bits=12)

@@ -9,8 +9,9 @@ which nothing branches are compacted: a gram whose weight is also that of a long
 it has no place of its own and is dropped.
 
 A pair of words below the least count is in no phrase that reaches it, so pieces end there
-too. Pairs are counted in ``2 ** SLOT_BITS`` slots of their hash, whose bits (a fixed 32 MB) are
-broadcast: slots that reach the count hold all frequent pairs, the few rare ones among them only
+too; a triple below it is in none either, so no gram goes on through one. Pairs, then triples of
+such pairs, are counted in ``2 ** SLOT_BITS`` slots of their hash, whose bits (a fixed 32 MB each) are
+broadcast: slots that reach the count hold all frequent ones, the few rare ones among them only
 cost rows. The weights of all grams that reach the count are exact.
 
 A-Z are lower-cased. Pieces end at ``.,;:!?`` and line ends (``\\n`` to ``\\r``), words at spaces and
@@ -22,11 +23,12 @@ gives an empty one. Words are told apart by 64 hash bits.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +40,7 @@ WORD_ENDS = b" \t"
 UNKNOWN = "und"
 
 ORDER = 5
+PRUNED = (2, 3)  # grams whose rare ones end what is counted
 SLOT_BITS = 28
 BUCKET_BITS = 20  # slots of a bucket
 _BLOCK = 1 << 21
@@ -76,8 +79,26 @@ class Tokens:
         pieces = np.cumsum(kind == 2)[self.starts]
         self.joined = pieces[1:] == pieces[:-1]  # to the next word
 
-    def pairs(self) -> np.ndarray:
-        return mixed(self.words[:-1] * _STEP + self.words[1:])
+    def slots(self, places: np.ndarray, m: int, slot_bits: int) -> np.ndarray:
+        """Slots of the grams of ``m`` words from these places."""
+        key = self.words[places]
+        for j in range(1, m):
+            key = mixed(key * _STEP + self.words[places + j])
+        return key >> np.uint64(64 - slot_bits)
+
+    def going(self, most: int, bits: list[np.ndarray], slot_bits: int) -> list[np.ndarray]:
+        """By length, from 2 to ``most``: do so many words from a place stand in a piece, none of their
+        grams in a slot whose bit is unset? ``bits`` are those of pairs, triples and so on."""
+        on, out = self.joined, []
+        for m in range(2, most + 1):
+            on = on[:-1] & on[1:] if m > 2 else on.copy()
+            if m - 2 < len(bits):
+                places = np.flatnonzero(on)
+                slot = self.slots(places, m, slot_bits)
+                byte = bits[m - 2][(slot >> np.uint64(3)).astype(np.int64)]
+                on[places] = (byte >> (7 - (slot & np.uint64(7))).astype(np.uint8)) & 1 > 0
+            out.append(on)
+        return out
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[Tokens]:
@@ -129,16 +150,18 @@ def count_words(docs: DataFrame) -> DataFrame:
         F.sum("n").alias("n"))
 
 
-def frequent_slots(docs: DataFrame, least: int, slot_bits: int = SLOT_BITS) -> np.ndarray:
+def frequent_slots(docs: DataFrame, least: int, slot_bits: int = SLOT_BITS, shorter: Sequence[Broadcast] = ()) -> np.ndarray:
     """Bits of the slots whose pairs occur ``least`` times or more, all together.
 
-    Tasks send sorted slots and counts, packed by ranges of slots; a range is a dense array in
+    With the bits of ``shorter`` grams, of pairs first, it is the next longer grams, as far as
+    they go on through set bits. Tasks send sorted slots and counts, packed by ranges of slots; a range is a dense array in
     its bucket's task, whatever the input, and comes back as bits.
     """
-    low = min(BUCKET_BITS, slot_bits)
+    low, m = min(BUCKET_BITS, slot_bits), len(shorter) + 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, counts, press = [], [], zstandard.ZstdCompressor(level=1)
+        bits = [x.value for x in shorter]
 
         def packed() -> Iterator[pa.RecordBatch]:
             key, _, n = _uniques(np.concatenate(slots), np.concatenate(counts))
@@ -151,7 +174,8 @@ def frequent_slots(docs: DataFrame, least: int, slot_bits: int = SLOT_BITS) -> n
                     names=["bucket", "packed"])
 
         for t in _tokens(batches):
-            key, _, n = _uniques((t.pairs() >> np.uint64(64 - slot_bits))[t.joined], np.ones(int(t.joined.sum()), np.int64))
+            places = np.flatnonzero(t.going(m, bits, slot_bits)[-1])
+            key, _, n = _uniques(t.slots(places, m, slot_bits), np.ones(len(places), np.int64))
             slots.append(key)
             counts.append(n)
             if sum(map(len, slots)) > 2 * _HELD:
@@ -182,10 +206,12 @@ def edges(docs: DataFrame, least: int, slot_bits: int = SLOT_BITS) -> DataFrame:
 
     Places whose piece ends with their own word have no row.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(frequent_slots(docs, least, slot_bits))
+    shared = []
+    for _ in PRUNED:
+        shared.append(docs.sparkSession.sparkContext.broadcast(frequent_slots(docs, least, slot_bits, tuple(shared))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, parts, held = shared.value, [], 0
+        bits, parts, held = [x.value for x in shared], [], 0
 
         def made() -> pa.RecordBatch:
             grams, lang, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -201,20 +227,15 @@ def edges(docs: DataFrame, least: int, slot_bits: int = SLOT_BITS) -> DataFrame:
                 names=["lang", *_WORDS, "n"])
 
         for t in _tokens(batches):
-            if len(t.words) < 2:
-                continue
-            slot = t.pairs() >> np.uint64(64 - slot_bits)
-            on = t.joined & ((bits[(slot >> np.uint64(3)).astype(np.int64)] >> (7 - (slot & np.uint64(7))).astype(np.uint8)) & 1 > 0)
-            places = np.flatnonzero(on)
+            going = t.going(ORDER, bits, slot_bits)
+            places = np.flatnonzero(going[0])
             if not len(places):
                 continue
             grams = np.zeros((len(places), ORDER), np.uint64)
             grams[:, 0], grams[:, 1] = t.words[places], t.words[places + 1]
-            on, words = np.append(on, np.zeros(ORDER, bool)), np.append(t.words, np.zeros(ORDER, np.uint64))
-            going = np.ones(len(places), bool)
-            for j in range(2, ORDER):
-                going &= on[places + j - 1]
-                grams[going, j] = words[places + j][going]
+            for j, on in enumerate(going[1:], 2):
+                longer = np.flatnonzero(np.append(on, np.zeros(j, bool))[places])
+                grams[longer, j] = t.words[places[longer] + j]
             parts.append((grams, np.array(t.langs, object)[t.lang[places]], np.ones(len(places), np.int64)))
             held += len(places)
             if held > _HELD:
