@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tools import check
-from vacancia.catalog import models
+from vacancia.catalog import fixtures, models
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,6 +54,13 @@ def test_predictions_cover_every_profile(spark):
     assert predicted.filter("predicted_role IS NULL").count() == 0
 
 
+def test_advice_is_for_every_hundredth_profile(spark):
+    asked = {r.profile_id for r in fixtures.profiles(spark, SF).collect() if r.profile_id % 100 == 0}
+    rows = entry.queries()["adv_batch"](spark, SF).collect()
+    assert asked and {r.profile_id for r in rows} == asked and len(rows) == len(asked)
+    assert all(r.role and r.recommended for r in rows)
+
+
 def test_registered_families_run_the_library_defaults(monkeypatch):
     given = {}
 
