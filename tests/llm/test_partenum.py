@@ -1,11 +1,12 @@
 """The Jaccard join against all pairs, and its signatures against their promise."""
 
+import pathlib
 import random
 
 import numpy as np
 import pytest
 
-from vacancia.llm import partenum
+from vacancia.llm import common, partenum
 from vacancia.llm.components import components
 
 
@@ -128,6 +129,23 @@ def test_components(spark):
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
 
 
+def test_small_tables_of_components_are_one_file(spark, monkeypatch):
+    """A round on few edges writes a file a table, however many shuffle partitions there are."""
+    paths, fresh = [], common.session.scratch_path
+    monkeypatch.setattr(common.session, "scratch_path", lambda *a: paths.append(fresh(*a)) or paths[-1])
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = [(f"{i:04d}", f"{i + 1:04d}") for i in range(12)]
+        got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert got == {f"{i:04d}": "0000" for i in range(13)}
+    assert len(paths) > 4 and {len(list(pathlib.Path(p).glob("*.parquet"))) for p in paths} == {1}
+
+
 def test_histograms_bound_differences_and_new_pivots_reach_links():
     import pyarrow as pa
 

@@ -15,6 +15,7 @@ from vacancia import session
 #: Fixed values of the word definitions: bytes that separate words.
 BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+FILE_ROWS = 50_000
 _shipped: set[str] = set()
 
 
@@ -29,12 +30,16 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """``df`` as a Parquet table in the shared folder of ``spark.checkpoint.dir``.
 
     A point that several readers share is computed once and survives lost executors.
+    ``rows``, no fewer than ``df`` has, keep a small table from as many files as there are
+    shuffle partitions; more than that it never has.
     """
     path = session.scratch_path(df.sparkSession, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // FILE_ROWS)))
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -174,13 +174,14 @@ def _order(counts: DataFrame, lower: DataFrame | None, bits: int) -> DataFrame:
 def fit(docs: DataFrame, text: str = "text") -> list[DataFrame]:
     """The model: for each order, from bytes to the longest grams, (gram, n, context, logp, logq, logb)."""
     counts = stored(count_grams(docs, text), "grams")
-    levels = [counts]
+    levels = [(counts, counts.count())]
     for bits in range(8 * (ORDER - 1), 0, -8):  # continuation counts: in how many grams of the order above
         counts = counts.groupBy(F.col("gram").bitwiseAND((1 << bits) - 1).alias("gram")).agg(F.count("*").alias("n"))
-        levels.append(counts := stored(counts, f"grams-{bits}"))
+        counts = stored(counts, f"grams-{bits}", levels[-1][1])
+        levels.append((counts, counts.count()))
     orders, lower = [], None
-    for bits, counts in zip(range(8, 8 * ORDER + 1, 8), reversed(levels), strict=True):
-        lower = stored(_order(counts, lower, bits), f"order-{bits}")
+    for bits, (counts, n) in zip(range(8, 8 * ORDER + 1, 8), reversed(levels), strict=True):
+        lower = stored(_order(counts, lower, bits), f"order-{bits}", n)
         orders.append(lower)
     return orders
 
