@@ -1,6 +1,7 @@
 import datetime
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from vacancia import schema as S
@@ -102,6 +103,17 @@ def test_every_family_learns_and_predicts_text(spark, corpus):
         assert got == {1: "Ops", 2: "Web"}, name
 
 
+def test_forest_keeps_nodes_and_grows_the_same_trees(spark):
+    """The nodes of rows are kept from level to level; the trees are those of walking them anew."""
+    rows = spark.range(300).select(
+        array_to_vector(F.array(*(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(9)).cast("double") for i in range(5)))).alias("features"),
+        F.pmod(F.xxhash64("id"), F.lit(3)).cast("double").alias("label"), F.lit(1.0).alias("class_weight")).localCheckpoint()
+    forest = K.estimators(5, 3, 300, trees=4)["Random Forest"]
+    assert forest.getCacheNodeIds()
+    walked = forest.copy().setCacheNodeIds(False).fit(rows)
+    assert forest.fit(rows).toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
+
+
 def test_features_have_unit_length_and_shifted_idf(spark, corpus):
     features = K.fit_features(corpus, "combined_text", max_features=5, stop_words=[])
     row = features.transform(corpus).first()
