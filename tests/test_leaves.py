@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from vacancia.operators import nearest, tfidf
 from vacancia.plans import matching as plan
 
@@ -78,8 +79,8 @@ def test_vectors_are_the_weights_of_the_rows(spark):
     vectors = rec.vectors().collect()
     got = {(r.job_id, rec.terms.terms[t]): w for r in vectors for t, w in zip(r.terms, r.weights, strict=True)}
     assert got == pytest.approx(want) and len(got) > 20
-    listed = rec.terms.rows(rec.vectors(), ["job_id"])
-    assert {(r.job_id, r.term): r.weight for r in listed.collect()} == pytest.approx(want)
+    listed = tfidf.listed(rec.vectors(), "job_id").collect()
+    assert {(r.job_id, rec.terms.terms[r.term]): r.weight for r in listed} == pytest.approx(want)
     counted = tfidf.vocabulary_of(rec.counts, 9, 7000, 1)
     assert {tuple(r) for r in rec.vocabulary.collect()} == {tuple(r) for r in counted.collect()}
     some = rec.vectors(["job_id"], [rec.terms.terms.index("data")]).collect()
@@ -90,9 +91,7 @@ def test_vectors_move_nothing(spark):
     """Neither texts nor their terms are shuffled or sorted."""
     rec = plan.Recommender(jobs(spark), ["the"], min_df=1)
     one = rec.query_vectors(spark.createDataFrame([(1, "data spark")], "profile_id int, t string"), "t")
-    query = one.select(F.explode(F.arrays_zip("terms", "weights")).alias("p")).select(
-        F.col("p.terms").alias("term"), F.col("p.weights").alias("weight"))
-    scores = tfidf.score_one(rec.vectors(), query, "job_id")
+    scores = tfidf.score_one(rec.vectors(), tfidf.listed(one), "job_id")
     rows = {(r.job_id, round(r.score, 9)) for r in scores.collect()}
     asked = rec.query_weights(spark.createDataFrame([(1, "data spark")], "profile_id int, t string"), "t")
     assert rows == {(r.job_id, round(r.score, 9)) for r in tfidf.score_one(rec.weights(), asked, "job_id").collect()}
@@ -101,6 +100,14 @@ def test_vectors_move_nothing(spark):
         assert "Exchange hashpartitioning" not in plan_text and "Sort" not in plan_text
 
 
+def test_scores_of_one_profile_take_a_row_a_posting(spark):
+    """join_term_sim: the plan from the stored gold on neither explodes, shuffles nor sorts postings."""
+    scores = entry.queries()["join_term_sim"](spark, "/root/testdata/sf0.001")
+    text = scores._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    assert "MapInArrow" in text and "Exchange" not in text and "Generate" not in text
+    assert scores.count() > 0
+
+
 def test_a_role_restricts_the_search(spark):
     rec = plan.Recommender(jobs(spark).withColumn("role_category", F.when(F.col("job_id") == "0", "x").otherwise("y")), ["the"], min_df=1)
     asked = spark.createDataFrame([(1, "data spark", "x"), (2, "data spark", None), (3, "data sql", "y")], "profile_id int, t string, role string")
