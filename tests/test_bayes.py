@@ -58,3 +58,22 @@ def test_term_counts_are_not_stored(spark, monkeypatch):
     monkeypatch.setattr(models, "materialize", lambda df, name: stored.append(df.columns) or keep(df, name))
     models._bayes.__wrapped__("test", spark, "/root/testdata/sf0.001")
     assert len(stored) == 3 and not any("tf" in columns for columns in stored)
+
+
+def test_vectors_are_judged_like_their_rows(spark):
+    """Vectors carry their label, so nothing is joined or grouped by document."""
+    rng = random.Random(5)
+    labels = {i: rng.choice(["a", "b", None]) for i in range(50)}
+    terms = {i: sorted(set(rng.choices(range(6) if label == "a" else range(4, 12), k=i % 5))) for i, label in labels.items()}
+    rows = [(i, t, 0.1 + rng.random()) for i, ts in terms.items() for t in ts]
+    vectors = spark.createDataFrame(
+        [(i, labels[i], [t for k, t, _ in rows if k == i], [w for k, _, w in rows if k == i]) for i in labels],
+        "key long, label string, terms array<int>, weights array<double>").repartition(3)
+    model = bayes.fit(vectors, vectors, 12, "key", "label")
+    predicted = bayes.predict(vectors, None, model, "key")
+    plan = predicted._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    got = {r.key: r.prediction for r in predicted.collect()}
+    assert got == by_definition(rows, labels, 12, list(labels)) and len(set(got.values())) == 2
+    none = bayes.fit(vectors.limit(0), vectors.limit(0), 12, "key", "label")
+    assert {r.prediction for r in bayes.predict(vectors, None, none, "key").collect()} == {None}
