@@ -113,3 +113,17 @@ def test_a_role_restricts_the_search(spark):
     asked = spark.createDataFrame([(1, "data spark", "x"), (2, "data spark", None), (3, "data sql", "y")], "profile_id int, t string, role string")
     got = {(r.profile_id, r.job_id) for r in rec.scores(asked, "t", 9, "role").collect()}
     assert got == {(1, "0"), (3, "1"), (3, "5"), (3, "6"), (3, "8")}
+
+
+def test_postings_are_not_stored_again(spark, monkeypatch):
+    """adv_batch: gold is worked out once, for the role model too, and vectors of postings are not stored."""
+    from vacancia.catalog import fixtures, models
+
+    made, stored = [], []
+    gold, keep = fixtures.gold, plan.materialize
+    monkeypatch.setattr(fixtures, "gold", lambda *a: made.append(a) or gold(*a))
+    for module in (plan, models):
+        monkeypatch.setattr(module, "materialize", lambda df, name: stored.append(df.columns) or keep(df, name))
+    rows = entry.queries()["adv_batch"](spark, "/root/testdata/sf0.001").collect()
+    assert rows and len(made) == 1
+    assert not any("job_id" in columns and "terms" in columns for columns in stored)
