@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from vacancia import schema as S
 from vacancia.operators import dedup, standardise as N
 from vacancia.streaming import landing
@@ -86,3 +88,14 @@ def test_compaction_beside_readers_and_batches(spark, tmp_path):
     landing.compact(spark, log, schema, keys, "scraped_at", buckets=2)
     landing.compact(spark, log, schema, keys, "scraped_at")
     assert now() == [*want, ("d", "d3")] and landing.live(landing.commits(spark, log)).count() == 1
+
+
+def test_newest_rows_move_once(spark):
+    """The newest row of a key is shuffled by key, and not a second time by bucket."""
+    rows = spark.createDataFrame([(str(i % 7), str(i)) for i in range(50)], "id string, stamp string")
+    written = landing._bucketed(dedup.newest(rows, ["id"], "stamp"), ["id"], 4)
+    plan = written._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    latest = {(str(k), max(str(i) for i in range(50) if i % 7 == k)) for k in range(7)}
+    assert {(r.id, r.stamp) for r in written.collect()} == latest
+    assert written.filter(F.col("log_bucket") != landing.bucket_of(["id"], 4)).isEmpty()
