@@ -234,3 +234,13 @@ def test_records_meet_their_headers_without_a_shuffle(spark, tmp_path):
         csv_files._cut_all = cut_all
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert rows.count() == 60_000
+
+
+def test_scratch_tables_are_packed_closely(spark, tmp_path):
+    """Landed records and stored tables are most of what a landing writes besides its files."""
+    from vacancia.session import materialize
+
+    write(tmp_path / "shine" / "a.csv", "title,company\nDev,Acme\n")
+    rows, bad, headers = csv_files.read_tree(spark, f"file://{tmp_path}", N.standardise_silver)
+    for table in (rows, headers, materialize(rows, "rows")):
+        assert table.inputFiles() and all(f.endswith(".zstd.parquet") for f in table.inputFiles())
