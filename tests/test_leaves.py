@@ -127,3 +127,23 @@ def test_postings_are_not_stored_again(spark, monkeypatch):
     rows = entry.queries()["adv_batch"](spark, "/root/testdata/sf0.001").collect()
     assert rows and len(made) == 1
     assert not any("job_id" in columns and "terms" in columns for columns in stored)
+
+
+def test_documents_stay_where_they_are_for_few_queries(spark, monkeypatch):
+    """ctx_retrieval, ctx_answer: the vectors of all documents were shuffled for a few hundred questions."""
+    rng = np.random.default_rng(9)
+    q, d = (rows(rng, n, "id", copies=3) for n in (40, 500))
+
+    def table(frame):
+        listed = [(int(r.id), r.terms.tolist(), r.weights.tolist(), "ab"[r.id % 2]) for r in frame.itertuples()]
+        return spark.createDataFrame(listed, "id long, terms array<int>, weights array<double>, side string").repartition(5)
+
+    asked, docs = table(q), table(d)
+    for cell in (None, "side"):
+        blocks = nearest.top_documents(asked, docs, "id", "id", 4, cell, rows_per_block=20)
+        monkeypatch.setattr(nearest, "_HELD", 150)
+        scanned = nearest.top_documents(asked, docs, "id", "id", 4, cell)
+        text = scanned._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapCoGroups" not in text and text.split("MapInPandas")[1].count("Exchange") == 1  # the table's own
+        assert sorted(map(tuple, scanned.collect())) == sorted(map(tuple, blocks.collect()))
+    assert nearest.top_documents(asked.limit(0), docs, "id", "id", 4).collect() == []
