@@ -244,3 +244,20 @@ def test_scratch_tables_are_packed_closely(spark, tmp_path):
     rows, bad, headers = csv_files.read_tree(spark, f"file://{tmp_path}", N.standardise_silver)
     for table in (rows, headers, materialize(rows, "rows")):
         assert table.inputFiles() and all(f.endswith(".zstd.parquet") for f in table.inputFiles())
+
+
+def test_pages_do_not_grow_with_the_tables(spark, monkeypatch):
+    """src_html_cards: a page held all cards of a portal and company, of a seventeenth of all postings without one."""
+    from vacancia.catalog import landing
+
+    sf = "/root/testdata/sf0.001"
+
+    def most():
+        return landing.card_pages(spark, sf).select(F.max(F.size(F.split("html", "internshipid=")) - 1)).first()[0]
+
+    whole = landing.src_html_cards(spark, sf)
+    before = most()
+    monkeypatch.setattr(landing, "PAGE_ORDERS", 100)
+    after = landing.src_html_cards(spark, sf)
+    assert before > 50 and most() < before / 5
+    assert whole.count() == after.count() and whole.exceptAll(after).isEmpty()
