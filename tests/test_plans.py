@@ -114,6 +114,25 @@ def test_forest_keeps_nodes_and_grows_the_same_trees(spark):
     assert forest.fit(rows).toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
 
 
+def test_forest_grows_in_parts(spark, tmp_path, monkeypatch):
+    """No fit holds a row's draws and nodes of more trees than a part has; all trees are in the model."""
+    rows = spark.range(300).select(
+        array_to_vector(F.array(*(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(9)).cast("double") for i in range(5)))).alias("features"),
+        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)).cast("double").alias("label"), F.lit(1.0).alias("class_weight")).localCheckpoint()
+    forest = K.estimators(5, 3, 300, trees=7)["Random Forest"]
+    fit, sizes = K.Forest._fit_java, []
+    monkeypatch.setattr(K, "_TREES_AT_ONCE", 3)
+    monkeypatch.setattr(K.Forest, "_fit_java", lambda self, df: sizes.append((self.getNumTrees(), self.getSeed())) or fit(self, df))
+    model = forest.fit(rows)
+    assert sizes == [(3, 42), (3, 45), (1, 48)] and forest.getNumTrees() == 7
+    assert model.getNumTrees == 7 and len(model.trees) == 7 and model.numClasses == 3
+    assert len({t.toDebugString.split("\n", 1)[1] for t in model.trees}) == 7
+    model.write().save(f"file://{tmp_path}/forest")
+    read = type(model).load(f"file://{tmp_path}/forest")
+    found = [[r.prediction for r in m.transform(rows).collect()] for m in (model, read)]
+    assert found[0] == found[1] and sum(p == r.label for p, r in zip(found[0], rows.collect())) > 200
+
+
 def test_features_have_unit_length_and_shifted_idf(spark, corpus):
     features = K.fit_features(corpus, "combined_text", max_features=5, stop_words=[])
     row = features.transform(corpus).first()
